@@ -1,0 +1,18 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when a count shows the frame is small, else leave the choice open.
+
+    Meant for narrow frames of a few columns. Beyond the bound the join shuffles, and
+    skewed keys are split at run time.
+    """
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df
