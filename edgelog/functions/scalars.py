@@ -24,9 +24,9 @@ def null_safe_add(a, b) -> Column:
 
 
 def finite(x) -> Column:
-    """Cast to double, null where the text is no finite number."""
+    """Cast to double, null where the text is no number a bigint could hold."""
     d = _column(x).try_cast("double")
-    return F.when(F.abs(d) < F.lit(float("inf")), d)
+    return F.when(F.abs(d) < F.lit(2.0**63), d)
 
 
 def dash_to_zero(x) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from edgelog import layouts as L
 from edgelog.functions.scalars import quoted
 from edgelog.functions.times import DEFAULT_TZ, day_start_utc8, fmt_epoch, minute_text
-from edgelog.operators.parse import part_flagged, split_line
+from edgelog.operators.parse import part_flagged, split_lines
 
 _DAY = 86400
 MALFORMED_SUFFIX = "malformed"
@@ -77,10 +77,8 @@ def archive_lines(
     and the error that kept it from being parsed; it goes to a table of its own.
     """
     width = len(L.VENDOR_37)
-    split = df.select(
-        F.col(value).cast("string").alias("_raw"),
-        split_line(value, keep_trailing=True).alias("_parts"),
-    )
+    lines = df.select(F.col(value).cast("string").alias("_raw"))
+    split = split_lines(lines, {"_raw": "_parts"}, keep_trailing=True)
     at = lambda i: F.try_element_at("_parts", F.lit(i + 1))
     fields = split.select(
         "_raw", F.coalesce(F.size("_parts"), F.lit(0)).alias("_n"),

@@ -18,10 +18,22 @@ ID_PREFIX = {60: "m1", 300: "m5"}
 HOST_PREFIX = "hst_sts"
 
 
+# Room for any offset below the partition in one ordered number.
+_OFFSETS = "10000000000000000000"
+
+
 def _numeric_tag(tag: str) -> Column:
+    """A ``p-offset`` tag as one number, which a hash aggregate can take the least of."""
     parts = F.split(tag, "-")
-    number = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)).try_cast("bigint"), F.lit(0))
-    return F.struct(number(1).alias("p"), number(2).alias("o"))
+    number = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)).try_cast("decimal(19,0)"), F.lit(0))
+    big = F.lit(_OFFSETS).cast("decimal(20,0)")
+    return (number(1).cast("decimal(10,0)") * big + number(2)).cast("decimal(38,0)")
+
+
+def _tag_text(number: Column) -> Column:
+    text = F.lpad(number.cast("string"), 38, "0")
+    plain = lambda start, n: F.substring(text, start, n).cast("decimal(19,0)").cast("string")
+    return F.concat_ws("-", plain(1, 19), plain(20, 19))
 
 
 def _measures(tag: str | None, count: Column, size: Column) -> list[Column]:
@@ -33,9 +45,7 @@ def _measures(tag: str | None, count: Column, size: Column) -> list[Column]:
 
 def _finish(df: DataFrame, keys: list[str], prefix: str, tag: str | None) -> DataFrame:
     row_key = F.concat_ws("|", F.lit(prefix), *keys, F.col("from_time").cast("string"))
-    tail = []
-    if tag:
-        tail.append(F.concat_ws("-", F.col("_tag.p").cast("string"), F.col("_tag.o").cast("string")).alias(tag))
+    tail = [_tag_text(F.col("_tag")).alias(tag)] if tag else []
     return df.select(
         *keys, "from_time", (F.col("from_time") * 1000).alias("log_date"), "req_count",
         "traffic", F.col("traffic").alias("traffic_pm"), row_key.alias("id"), *tail,

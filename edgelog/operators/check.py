@@ -20,22 +20,18 @@ def archive_file_counts(archive: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
 
 def band_file_counts(band: DataFrame) -> DataFrame:
     """Requests the rollups hold per file and five minutes, over all other keys."""
-    rows = band.select(
-        F.md5("file_name").alias("file_md5"),
-        floor_to("from_time", 300).alias("from_time"),
-        "file_name",
-        "req_count",
-    )
-    return rows.groupBy(*_KEY).agg(
-        F.min("file_name").alias("file_name"), F.sum("req_count").alias("band_req_count")
+    per_file = band.select(
+        "file_name", floor_to("from_time", 300).alias("from_time"), "req_count"
     )
+    counts = per_file.groupBy("file_name", "from_time").agg(F.sum("req_count").alias("band_req_count"))
+    return counts.withColumn("file_md5", F.md5("file_name"))
 
 
 def band_check(archive: DataFrame, band: DataFrame, full: bool = False, tz: str = DEFAULT_TZ) -> DataFrame:
     """Per file and five minutes: both counts, and ``Y`` where they agree.
 
-    Both sides are grouped on the join key first, so the join needs no further shuffle
-    and has one row per key. ``full`` also reports files only the rollups know.
+    Both sides are grouped first, so the join has one row per file and bucket on each
+    side and no hot key. ``full`` also reports files only the rollups know.
     """
     joined = archive_file_counts(archive, tz).join(
         band_file_counts(band), _KEY, "full" if full else "left"

@@ -32,13 +32,8 @@ def _flag(df: DataFrame, typed: dict[str, Column], with_time: bool) -> DataFrame
     return df.withColumns(typed)
 
 
-def _time(df: DataFrame) -> Column:
-    t = finite(_source(df, "time_unix"))
-    return F.when(t.try_cast("bigint").isNotNull(), t)
-
-
 def clean_band_flagged(df: DataFrame, with_ingest_time: bool = False) -> DataFrame:
-    typed = {"time_unix": _time(df), "body_bytes_sent": finite(_source(df, "body_bytes_sent"))}
+    typed = {"time_unix": finite(_source(df, "time_unix")), "body_bytes_sent": finite(_source(df, "body_bytes_sent"))}
     return _flag(df, typed, with_ingest_time)
 
 
@@ -48,7 +43,7 @@ def clean_band(df: DataFrame, layout: str = "band", **options) -> tuple[DataFram
 
 
 def clean_detail_flagged(df: DataFrame, with_ingest_time: bool = False) -> DataFrame:
-    when = _time(df)
+    when = finite(_source(df, "time_unix"))
     typed = {
         "time_unix": when,
         "time_mt": floor_to(when, 60),

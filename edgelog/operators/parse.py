@@ -23,23 +23,52 @@ def _literal(sep: str) -> str:
     return sep if sep.isalnum() or sep == L.FIELD_SEP else f"\\Q{sep}\\E"
 
 
-def split_line(value, sep: str = L.FIELD_SEP, keep_trailing: bool = False) -> Column:
-    """Fields of a line. Empty fields at its end count as absent unless kept."""
-    line = F.col(value) if isinstance(value, str) else value
-    line = line.cast("string")
-    pattern = _literal(sep)
+def trimmed(line: str, sep: str = L.FIELD_SEP) -> Column:
+    """A line without the separators at its end; empty if it is nothing but separators.
+
+    The pattern only runs on the short tail made of the separator's characters.
+    """
+    text = F.col(line)
+    base = F.rtrim(text, F.lit("".join(sorted(set(sep)))))
+    tail = F.substring(text, F.length(base) + 1, F.length(text))
+    kept = F.regexp_replace(tail, f"({_literal(sep)})+$", "")
+    return F.when(~text.endswith(sep), text).otherwise(F.concat(base, kept))
+
+
+def split_lines(
+    df: DataFrame, lines: dict[str, str], sep: str = L.FIELD_SEP, keep_trailing: bool = False
+) -> DataFrame:
+    """Add the fields of each line column as an array column, ``{line: array}``.
+
+    Empty fields at the end of a line count as absent unless kept.
+    """
+    bare = df
+    text = {line: F.col(line) for line in lines}
     if not keep_trailing:
-        stripped = F.regexp_replace(line, f"({pattern})+$", "")
-        # Most lines end in a value, so the pattern runs on few of them.
-        line = F.when(~line.endswith(sep), line).when(stripped != "", stripped)
-    return F.split(line, pattern, -1)
+        bare = df.withColumns({f"{line}_bare": trimmed(line, sep) for line in lines})
+        for line in lines:
+            rest = F.col(f"{line}_bare")
+            text[line] = F.when((rest != "") | (F.col(line) == ""), rest)
+    parts = {out: F.split(text[line], _literal(sep), -1) for line, out in lines.items()}
+    return evaluated(bare, **parts).select(*df.columns, *parts)
+
+
+def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    Filters and projections above a generator are not merged into it, so a costly
+    expression read dozens of times, such as a split line, is not repeated in each reader.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    held = df.select("*", F.explode(F.array(packed)).alias("_once"))
+    return held.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
 
 
 def _fields(parts: Column, names: list[str], empty_is_missing: bool = False) -> list[Column]:
     out = []
     for i, name in enumerate(names, 1):
         value = F.try_element_at(parts, F.lit(i))
-        out.append((F.nullif(value, F.lit("")) if empty_is_missing else value).alias(name))
+        out.append((F.when(value != "", value) if empty_is_missing else value).alias(name))
     return out
 
 
@@ -73,10 +102,10 @@ def parse_flagged(
         raise ValueError("on_short must be 'null' or 'quarantine'")
     names = L.LAYOUTS[layout]
     need = min_fields if min_fields is not None else len(names)
-    split = df.select(
-        F.col(value).cast("string").alias("_raw"),
-        split_line(value, sep).alias("_parts"),
-        *(keep or []),
+    lines = df.select(F.col(value).cast("string").alias("_raw"), *(keep or []))
+    # Where an empty field is a missing one, those at the end need no stripping.
+    split = split_lines(
+        lines, {"_raw": "_parts"}, sep, keep_trailing=layout in L.EMPTY_IS_MISSING and on_short == "null"
     )
     count = F.coalesce(F.size("_parts"), F.lit(0))
     reason = F.when(F.col("_raw").isNull(), F.lit("no line"))
@@ -96,13 +125,11 @@ def parse_lines(df: DataFrame, layout: str, **options) -> tuple[DataFrame, DataF
 def parse_archive_flagged(df: DataFrame, kind: str, keep: list[str] | None = None) -> DataFrame:
     """Take the two quoted cells ``info`` and ``info1`` of an archived record apart."""
     rest = L.ARCHIVE_REST[kind]
-    cells = df.select(
-        "info",
-        "info1",
-        split_line(drop_outer_quotes("info"), L.CELL_SEP).alias("_user"),
-        split_line(drop_outer_quotes("info1"), L.CELL_SEP).alias("_rest"),
+    bare = df.select(
+        "info", "info1", drop_outer_quotes("info").alias("_u"), drop_outer_quotes("info1").alias("_r"),
         *(keep or []),
     )
+    cells = split_lines(bare, {"_u": "_user", "_r": "_rest"}, L.CELL_SEP)
     reason = (
         F.when(F.col("info").isNull() | F.col("info1").isNull(), F.lit("cell missing"))
         .when(F.size("_user") > len(L.ARCHIVE_USER), F.lit("too many fields"))
@@ -143,9 +170,8 @@ def parse_sql42_flagged(
     df: DataFrame, *, value: str = "value", sep: str = L.FIELD_SEP, suffix_month: str | None = "201705"
 ) -> DataFrame:
     """Vendor lines as the 42 typed columns user SQL works on."""
-    split = df.select(
-        F.col(value).cast("string").alias("_raw"), split_line(value, sep).alias("_parts")
-    )
+    lines = df.select(F.col(value).cast("string").alias("_raw"))
+    split = split_lines(lines, {"_raw": "_parts"}, sep)
     fields = split.select(
         "_raw", F.size("_parts").alias("_n"), *_fields(F.col("_parts"), L.VENDOR_37),
         *[F.try_element_at("_parts", F.lit(i)).alias(n) for i, n in ((39, "_f38"), (40, "_f39"))],
@@ -211,9 +237,8 @@ def package_lines(
     df: DataFrame, *, value: str = "value", index_name: str = "packages", index_type: str = "log"
 ) -> DataFrame:
     """Packaged quoted lines: four fields, an id of the first two, and the whole line."""
-    split = df.select(
-        F.col(value).alias("body"), F.split(value, _literal(L.CELL_SEP), -1).alias("_p")
-    )
+    lines = df.select(F.col(value).alias("body"))
+    split = split_lines(lines, {"body": "_p"}, L.CELL_SEP, keep_trailing=True)
     field = lambda i: F.try_element_at("_p", F.lit(i + 1))
     return split.select(
         field(9).alias("X_Info_request_id"),

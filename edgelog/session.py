@@ -11,8 +11,11 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # Rankings keep up to 2000 rows per domain; the stock limit of 1000 would turn
-    # the early per-group cut off for them.
+    # The JVM does not compile methods above 8000 bytes; wide log records exceed that when
+    # a whole stage becomes one method, so such stages run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rankings keep up to 2000 rows per domain; the stock limit of 1000 would turn the
+    # early per-group cut off for them.
     "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
 }
 
