@@ -18,6 +18,8 @@ _TOKENS = {
     "yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2),
     "ss": (18, 2),
 }
+# The separator that follows each token in that form.
+_AFTER = {"yyyy": "-", "MM": "-", "dd": " ", "HH": ":", "mm": ":"}
 _TOKEN_RE = re.compile("yyyy|MM|dd|HH|mm|ss")
 _DAY = 86400
 # Seconds from a UTC midnight to the next midnight at UTC+8.
@@ -50,6 +52,10 @@ def local_time(x, tz: str = DEFAULT_TZ) -> Column:
 def fmt_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds as text; ``pattern`` may use yyyy, MM, dd, HH, mm and ss."""
     text = local_time(x, tz).cast("string")
+    span = _one_span(pattern)
+    if span:
+        start, length, old, new = span
+        return F.translate(F.substring(text, start, length), old, new)
     parts, at = [], 0
     for m in _TOKEN_RE.finditer(pattern):
         if m.start() > at:
@@ -61,6 +67,33 @@ def fmt_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _one_span(pattern: str) -> tuple[int, int, str, str] | None:
+    """How to get a pattern by cutting the text form once and changing its separators.
+
+    Possible when the tokens follow each other as in the text form and each kind of
+    separator turns into one character or none. It saves converting the time once for
+    every token.
+    """
+    found = list(_TOKEN_RE.finditer(pattern))
+    order = list(_TOKENS)
+    names = [m.group() for m in found]
+    if not found or found[0].start() or found[-1].end() < len(pattern):
+        return None
+    first = order.index(names[0])
+    if names != order[first:first + len(names)]:
+        return None
+    change: dict[str, str] = {}
+    for left, right in zip(found, found[1:]):
+        old = _AFTER[left.group()]
+        new = pattern[left.end():right.start()]
+        if len(new) > 1 or change.setdefault(old, new) != new:
+            return None
+    start = _TOKENS[names[0]][0]
+    last_at, last_len = _TOKENS[names[-1]]
+    kept = [o for o, n in change.items() if n] + [o for o, n in change.items() if not n]
+    return start, last_at + last_len - start, "".join(kept), "".join(change[o] for o in kept)
+
+
 def parse_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     """Text in a fixed-width pattern as epoch seconds; null where it is no time."""
     src = _column(x)

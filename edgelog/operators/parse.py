@@ -254,10 +254,8 @@ def package_lines(
 
 def parse_row_key(df: DataFrame, *, row_key: str = "row_key", tz: str = "Asia/Shanghai") -> DataFrame:
     """File hash and five-minute bucket of ``salt#!minute#!firm#md5#line`` keys."""
-    parts = F.split(row_key, "#!")
-    rest = F.split(F.try_element_at(parts, F.lit(3)), "#")
-    seconds = parse_epoch(F.try_element_at(parts, F.lit(2)), "yyyyMMddHHmm", tz)
-    return df.select(
-        F.try_element_at(rest, F.lit(2)).alias("file_md5"),
-        floor_to(seconds, 300).alias("from_time"),
+    taken = df.select(
+        F.split_part(row_key, F.lit("#!"), F.lit(2)).alias("_minute"),
+        F.split_part(F.split_part(row_key, F.lit("#!"), F.lit(3)), F.lit("#"), F.lit(2)).alias("file_md5"),
     )
+    return taken.select("file_md5", floor_to(parse_epoch("_minute", "yyyyMMddHHmm", tz), 300).alias("from_time"))

@@ -62,20 +62,29 @@ def fan_out(*handlers: Handler) -> Handler:
     return run
 
 
+def _broker(df: DataFrame) -> list[str]:
+    return _BROKER if all(c in df.columns for c in _BROKER) else []
+
+
 def _tags(df: DataFrame, batch: int) -> tuple[str, str]:
     """Batch tags from broker offsets where the source has them, else from the batch id."""
-    if all(c in df.columns for c in _BROKER):
+    if _broker(df):
         row = route.batch_tag(df).first()
         return row["batch_tag"], row["batch_tag_all"]
     return f"0-{batch}", f"0-{batch};"
 
 
-def _store(flagged: DataFrame, layout: str, base: str, batch: int, rows: Callable[[DataFrame], None]) -> None:
-    """Give the good rows to ``rows`` and write the others to the quarantine table."""
+def _store(
+    flagged: DataFrame, layout: str, base: str, batch: int, rows: Callable[[DataFrame, tuple[str, str]], None]
+) -> None:
+    """Give the good rows and the batch tags to ``rows``, the others to the quarantine table.
+
+    The parsed batch is held, so the source is read and split once.
+    """
     flagged = flagged.persist()
     try:
         good, bad = parse.part_flagged(flagged, layout)
-        rows(good)
+        rows(good, _tags(flagged, batch))
         routed_upsert(bad, f"{base}/quarantine", batch, part=["layout"])
     finally:
         flagged.unpersist()
@@ -95,10 +104,10 @@ def band_handler(
     }[kind]
 
     def run(df: DataFrame, batch: int) -> None:
-        tag, _ = _tags(df, batch)
-        flagged = clean.clean_band_flagged(parse.parse_flagged(df, layout, value=value))
+        parsed = parse.parse_flagged(df, layout, value=value, keep=_broker(df))
 
-        def rows(good: DataFrame) -> None:
+        def rows(good: DataFrame, tags: tuple[str, str]) -> None:
+            tag, _ = tags
             one = band.band(good, keys, 60)
             out = []
             for frame, prefix in ((one, L.INDEX_BAND_1M), (band.reband(one, keys, 300), L.INDEX_BAND_5M)):
@@ -109,7 +118,7 @@ def band_handler(
                 host = route.route_host(band.host_status(good), tz)
                 routed_upsert(route.with_doc_id(host, F.lit(tag)), f"{base}/host", batch)
 
-        _store(flagged, layout, base, batch, rows)
+        _store(clean.clean_band_flagged(parsed), layout, base, batch, rows)
 
     return run
 
@@ -125,7 +134,7 @@ def detail_handler(base: str, kind: str = "fusion", value: str = "value", tz: st
         routed = route.route_detail(route.with_row_id(clean.clean_detail_flagged(parsed), kind), kind, tz)
         reason = F.coalesce("_reason", F.when(F.col("index_name").isNull(), F.lit("no index")))
         flagged = routed.withColumn("_reason", reason)
-        _store(flagged, layout, base, batch, lambda good: routed_upsert(good, f"{base}/detail", batch))
+        _store(flagged, layout, base, batch, lambda good, _: routed_upsert(good, f"{base}/detail", batch))
 
     return run
 
@@ -134,15 +143,15 @@ def rank_handler(base: str, n: int = 100, value: str = "value", tz: str = DEFAUL
     """URL-hour rollup of each batch and its top lists."""
 
     def run(df: DataFrame, batch: int) -> None:
-        _, tag = _tags(df, batch)
-        flagged = clean.clean_band_flagged(_lenient_size(parse.parse_flagged(df, "common34", value=value)))
+        parsed = parse.parse_flagged(df, "common34", value=value, keep=_broker(df))
 
-        def rows(good: DataFrame) -> None:
+        def rows(good: DataFrame, tags: tuple[str, str]) -> None:
+            _, tag = tags
             top = rank.top_union(rank.url_hour(good), n, legacy_order=legacy_order)
             routed = route.route_rank(route.with_rank_doc_id(top, F.lit(tag)), tz)
             routed_upsert(routed, f"{base}/rank", batch)
 
-        _store(flagged, "common34", base, batch, rows)
+        _store(clean.clean_band_flagged(_lenient_size(parsed)), "common34", base, batch, rows)
 
     return run
 
