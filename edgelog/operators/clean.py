@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgelog.functions.scalars import dash_to_zero, finite, text_or_zero
 from edgelog.functions.times import floor_to
@@ -15,8 +16,16 @@ def _has(df: DataFrame, name: str) -> bool:
 
 
 def _source(df: DataFrame, name: str) -> Column:
-    """The column, or the stand-in for a field the layout does not carry."""
-    return text_or_zero(name) if _has(df, name) else F.lit("0")
+    """The column, or the stand-in for a field the layout does not carry.
+
+    Numbers stay numbers, so typed input is not turned into text and back.
+    """
+    found = {f.name.lower(): f.dataType for f in df.schema.fields}.get(name.lower())
+    if found is None:
+        return F.lit("0")
+    if isinstance(found, T.NumericType):
+        return F.coalesce(F.col(name), F.lit(0).cast(found))
+    return text_or_zero(name)
 
 
 def _flag(df: DataFrame, typed: dict[str, Column], with_time: bool) -> DataFrame:
