@@ -1129,7 +1129,21 @@ def _(spark, sf):
     return recommend.cosine_users(_ratings(spark, sf), 8)
 
 
-@query("naive_bayes")
+_NB = (
+    "WITH e AS (SELECT vec_id, CAST(label % 2 AS DOUBLE) AS label, abs(CAST(unnest(embedding) AS DOUBLE)) AS x, "
+    "generate_subscripts(embedding, 1) AS j FROM embeddings), "
+    "n AS (SELECT CAST(label % 2 AS DOUBLE) AS label, count(*) AS n FROM embeddings GROUP BY 1), "
+    "prior AS (SELECT label, ln(n + 1.0) - ln((SELECT sum(n) + count(*) FROM n)) AS pi FROM n), "
+    "s AS (SELECT label, j, sum(x) AS s FROM e GROUP BY ALL), "
+    "t AS (SELECT label, sum(s) + count(*) AS t FROM s GROUP BY label), "
+    "theta AS (SELECT s.label, j, ln(s + 1.0) - ln(t) AS theta FROM s JOIN t ON s.label = t.label), "
+    "score AS (SELECT e.vec_id, e.label, theta.label AS guess, sum(x * theta) + any_value(pi) AS score FROM e "
+    "JOIN theta ON e.j = theta.j JOIN prior ON theta.label = prior.label GROUP BY ALL) "
+    "SELECT vec_id, label, arg_max(guess, score) AS prediction FROM score GROUP BY vec_id, label"
+)
+
+
+@query("naive_bayes", _NB)
 def _(spark, sf):
     points = _points(spark, sf, positive=True)
     return _predicted(recommend.naive_bayes(points), points)
@@ -1197,6 +1211,18 @@ def _(spark, sf):
     return jobs.rebuild_band(fx.archive(spark, sf), _FROM, _TO, firm="BS", as_of=_AS_OF)[300]
 
 
+@query(
+    "rebuild_band_jx",
+    fx.with_log(
+        "SELECT * REPLACE (md5('0##' || id) AS id), "
+        f"{_band_index('statsdata_m_')} AS index_name, 'bandself' AS index_type FROM b",
+        b=band_sql(L.JX_KEYS, MINUTE, "m1", where=f"{GOOD} AND {fx.MINUTE_SQL} >= '{_FROM}' AND {fx.MINUTE_SQL} < '{_TO}'"),
+    ),
+)
+def _(spark, sf):
+    return jobs.rebuild_band(fx.archive(spark, sf, "jx"), _FROM, _TO, kind="jx", as_of=_AS_OF)[60]
+
+
 @query(
     "time_slices",
     fx.with_log(

@@ -49,8 +49,11 @@ def run_rebuild(
     """Rebuild a range into a band table and publish it.
 
     Its rows replace every partial row of the buckets they cover, once the coverage row
-    is written; a run that dies earlier changes nothing.
+    is written; a run that dies earlier changes nothing. The range must hold whole
+    five-minute buckets. Each kind of log has a ``base`` of its own.
     """
+    if any(int(m[-2:]) % 5 for m in (from_min, to_min)):
+        raise ValueError("the range must start and end on a multiple of five minutes")
     run = run or int(time.time())
     frames = rebuild_band(archive, from_min, to_min, firm, kind, tz=tz, **options)
     rows = frames[60].unionByName(frames[300])

@@ -13,6 +13,7 @@ from edgelog.plans import jobs
 from edgelog.session import shared_dir
 from edgelog.sinks import writers
 from edgelog.sources import readers
+from edgelog.streaming import runner
 from tests.helpers import lines, plan, rows
 
 
@@ -74,6 +75,11 @@ def test_rebuild_replaces_what_streams_wrote(spark, log, sf, tmp_path):
         assert rows(got) == rows(want)
 
 
+def test_rebuild_needs_whole_buckets(spark, sf, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.run_rebuild(spark, fixture.archive(spark, sf), str(tmp_path), str(tmp_path / "c"), "202401010800", "202401010903")
+
+
 def test_unpublished_rebuild_is_not_seen(spark, tmp_path):
     rows_ = spark.createDataFrame([(0, "a", 0, 1), (0, "a", 9, 5)], "from_time bigint, firm_name string, run bigint, v int")
     none = spark.createDataFrame([], writers.COVERAGE_SCHEMA)
@@ -181,6 +187,37 @@ def test_models(spark, tmp_path):
     assert sum(p.count() for p in parts) == 1000
 
 
+def test_als_ranks_what_similar_users_like(spark):
+    # Two groups of users, each fond of its own items; user 0 has not rated item 1.
+    data = [(u, i, 5.0 if u % 2 == i % 2 else 1.0) for u in range(10) for i in range(6) if (u, i) != (0, 1)]
+    ratings = spark.createDataFrame(data, "user int, item int, rating double")
+    top = recommend.als_top(ratings, spark.createDataFrame([(0,), (1,)], "user int"), n=3, iterations=10)
+    for r in top.collect():
+        assert r.item % 2 == r.user % 2
+    assert top.count() == 6
+
+
+def test_regression_recovers_the_line(spark):
+    points = recommend.labeled_points(lines(spark, *[f"{3 * a + 2 * b + 1},{a} {b}" for a in range(4) for b in range(4)]))
+    model = recommend.linear_regression(points)
+    assert model.coefficients.toArray().tolist() == pytest.approx([3.0, 2.0])
+    assert model.intercept == pytest.approx(1.0)
+
+
+def test_stop_ends_a_stream_between_batches(spark, tmp_path):
+    path = str(tmp_path / "in")
+    lines(spark, "a", "b").write.parquet(path)
+    seen = []
+    stream = readers.source(spark, "parquet", "value string", path)
+    query = runner.run_stream(stream, lambda df, b: seen.append(df.count()), str(tmp_path / "c"), interval="1 second", name="held")
+    query.processAllAvailable()
+    query.stop()
+    assert seen == [2] and not query.isActive
+    again = runner.run_stream(stream, lambda df, b: seen.append(df.count()), str(tmp_path / "c"))
+    again.awaitTermination()
+    assert seen == [2]
+
+
 def test_text_sources(spark, tmp_path):
     path = tmp_path / "t.txt"
     path.write_text('"a" "b"\n"c"\n')
