@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _column(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+from edgelog.functions.times import column
 
 
 def lenient(x, type_: str = "double", default=0) -> Column:
     """Cast that gives ``default`` where the value is missing or no number."""
-    return F.coalesce(_column(x).try_cast(type_), F.lit(default).cast(type_))
+    return F.coalesce(column(x).try_cast(type_), F.lit(default).cast(type_))
 
 
 def text_or_zero(x) -> Column:
-    return F.coalesce(_column(x).cast("string"), F.lit("0"))
+    return F.coalesce(column(x).cast("string"), F.lit("0"))
 
 
 def null_safe_add(a, b) -> Column:
@@ -25,19 +23,19 @@ def null_safe_add(a, b) -> Column:
 
 def finite(x) -> Column:
     """Cast to double, null where the text is no number a bigint could hold."""
-    d = _column(x).try_cast("double")
+    d = column(x).try_cast("double")
     return F.when(F.abs(d) < F.lit(2.0**63), d)
 
 
 def dash_to_zero(x) -> Column:
     """Missing or ``-`` gives 0, other text its number, bad text null."""
-    c = F.coalesce(_column(x).cast("string"), F.lit("0"))
+    c = F.coalesce(column(x).cast("string"), F.lit("0"))
     return F.when(c == "-", F.lit(0.0)).otherwise(finite(c))
 
 
 def ip_to_long(x) -> Column:
     """Dotted IPv4 text as a number; null where it has not four octets."""
-    octets = F.split(_column(x), r"\.")
+    octets = F.split(column(x), r"\.")
     total = F.lit(0).cast("bigint")
     for i in range(4):
         total = total * 256 + F.try_element_at(octets, F.lit(i + 1)).try_cast("bigint")
@@ -45,7 +43,7 @@ def ip_to_long(x) -> Column:
 
 
 def long_to_ip(x) -> Column:
-    n = _column(x)
+    n = column(x)
     octet = lambda shift: F.shiftright(n, shift).bitwiseAND(F.lit(255).cast("bigint"))
     return F.concat_ws(".", *[octet(s).cast("string") for s in (24, 16, 8, 0)])
 
@@ -58,15 +56,15 @@ def ip_to_int(x) -> Column:
 
 def int_to_long(x) -> Column:
     """Signed 32-bit address back to its unsigned number."""
-    return F.pmod(_column(x).cast("bigint"), F.lit(2**32))
+    return F.pmod(column(x).cast("bigint"), F.lit(2**32))
 
 
 def drop_outer_quotes(x) -> Column:
-    return F.regexp_replace(_column(x), '^"|"$', "")
+    return F.regexp_replace(column(x), '^"|"$', "")
 
 
 def json_map(x, value_type: str = "string") -> Column:
-    return F.from_json(_column(x), f"map<string,{value_type}>")
+    return F.from_json(column(x), f"map<string,{value_type}>")
 
 
 def quoted(cols) -> Column:

@@ -26,25 +26,26 @@ _DAY = 86400
 _UTC8_MIDNIGHT = 57600
 
 
-def _column(x) -> Column:
+def column(x) -> Column:
+    """A column given by name or as itself."""
     return F.col(x) if isinstance(x, str) else x
 
 
 def floor_to(x, seconds: int) -> Column:
     """Start of the bucket of ``seconds`` that holds epoch ``x``, as bigint."""
-    t = _column(x).try_cast("bigint")
+    t = column(x).try_cast("bigint")
     return t - t % F.lit(seconds)
 
 
 def day_start_utc8(x) -> Column:
     """Epoch of the UTC+8 midnight at or before ``x``."""
-    t = _column(x).try_cast("bigint") - F.lit(_UTC8_MIDNIGHT)
+    t = column(x).try_cast("bigint") - F.lit(_UTC8_MIDNIGHT)
     return t - F.pmod(t, F.lit(_DAY)) + F.lit(_UTC8_MIDNIGHT)
 
 
 def local_time(x, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds (whole or fractional) as a zone-less timestamp in ``tz``."""
-    millis = F.round(_column(x).cast("double") * 1000).try_cast("bigint")
+    millis = F.round(column(x).cast("double") * 1000).try_cast("bigint")
     utc = F.timestamp_add("MILLISECOND", millis, F.expr(_EPOCH))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
@@ -96,7 +97,7 @@ def _one_span(pattern: str) -> tuple[int, int, str, str] | None:
 
 def parse_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     """Text in a fixed-width pattern as epoch seconds; null where it is no time."""
-    src = _column(x)
+    src = column(x)
     part = {}
     for m in _TOKEN_RE.finditer(pattern):
         part[m.group()] = F.substring(src, m.start() + 1, m.end() - m.start())
@@ -114,7 +115,7 @@ def parse_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
 def iso_time(x, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds as ``yyyy-MM-dd'T'HH:mm:ss.SSSZ`` in ``tz``."""
     local = local_time(x, tz)
-    millis = F.round(_column(x).cast("double") * 1000).try_cast("bigint")
+    millis = F.round(column(x).cast("double") * 1000).try_cast("bigint")
     utc = F.timestamp_add("MILLISECOND", millis, F.expr(_EPOCH))
     shift = F.timestamp_diff("MINUTE", utc, local)
     sign = F.when(shift < 0, "-").otherwise("+")

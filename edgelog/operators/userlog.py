@@ -17,7 +17,7 @@ def export_field(name: str) -> Column:
     text = F.coalesce(F.col(name).cast("string"), F.lit("-"))
     head = F.substring_index(text, "/", 1)
     return (
-        F.when(text.rlike("^/+$"), F.lit("-"))
+        F.when(text.startswith("/") & text.rlike("^/+$"), F.lit("-"))
         .when(F.length(head) > _LIMIT, F.substring(head, 1, _CUT))
         .otherwise(head)
     )

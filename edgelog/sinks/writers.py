@@ -16,8 +16,6 @@ from edgelog.functions.times import DEFAULT_TZ, fmt_epoch
 from edgelog.operators.joins import broadcast_if_small
 from edgelog.operators.userlog import user_log_lines
 
-_PARQUET = "parquet"
-
 
 def _spread(df: DataFrame, parts: list[str]) -> DataFrame:
     """Gather rows by target folder; large folders are split and small ones merged at
@@ -123,9 +121,11 @@ def raw_lines_archive(df: DataFrame, base: str, batch: int, value: str = "value"
     routed_upsert(rows, base, batch, part=["table_suffix"])
 
 
-def write_event_store(df: DataFrame, base: str, batch: int, time_col: str = "time_local") -> None:
+def write_event_store(
+    df: DataFrame, base: str, batch: int, time_col: str = "time_local", tz: str = DEFAULT_TZ
+) -> None:
     """Rolled-up events in one folder per day."""
-    days = df.withColumn("day", F.date_format(time_col, "yyyyMMdd"))
+    days = df.withColumn("day", fmt_epoch(F.unix_seconds(time_col), "yyyyMMdd", tz))
     routed_upsert(days, base, batch, part=["day"])
 
 

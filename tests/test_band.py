@@ -103,6 +103,10 @@ def test_events_round_trip(spark):
     assert events.serialise(df, "csv").first().event == "7,x,1,2.5,3.0"
     with pytest.raises(ValueError):
         events.serialise(df, "xml")
+    record = spark.createDataFrame([("WS", "5", "d", 9, "now")], ", ".join(f"{c} string" if c != "body_bytes_sent" else f"{c} bigint" for c in events.LOG_EVENT_COLUMNS))
+    flat = '{"firm_name":"WS","response_time":"5","domain":"d","body_bytes_sent":9,"time_local":"now"}'
+    for form, want in (("json", flat), ("nested", flat), ("csv", "WS,5,d,9,now")):
+        assert events.serialise(record, form, events.LOG_EVENT_COLUMNS).first().event == want
 
 
 def test_filters(spark, log):
