@@ -67,11 +67,16 @@ def to_archive(
     )
 
 
-def archive_lines(
+def archive_lines(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """Raw vendor lines as archive rows, and a quarantine of what has no key."""
+    return part_flagged(archive_lines_flagged(df, **options), "archive")
+
+
+def archive_lines_flagged(
     df: DataFrame, *, value: str = "value", salts: int = 10, as_of=None, hot_days: int = 30,
     tz: str = DEFAULT_TZ,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw vendor lines as archive rows, and a quarantine of what has no key.
+) -> DataFrame:
+    """Archive rows of raw vendor lines, marked where a line has no key.
 
     A line of exactly 37 fields is archived by time. A longer one carries its raw data
     and the error that kept it from being parsed; it goes to a table of its own.
@@ -100,7 +105,7 @@ def archive_lines(
     )
     info, info1 = pack_cells(timed)
     pick = lambda good, other: F.when(F.col("_exact"), good).otherwise(other)
-    rows = timed.select(
+    return timed.select(
         "_raw", "_reason",
         pick(archive_row_key(timed, salts, tz), malformed_key).alias("row_key"),
         pick(minute_text("time_unix", tz), F.lit(L.MALFORMED_MINUTE)).alias("log_minute"),
@@ -111,7 +116,6 @@ def archive_lines(
         pick(info1, quoted(["_rawdata", "_error"])).alias("info1"),
         pick(table_suffix("time_unix", as_of, hot_days, tz), F.lit(MALFORMED_SUFFIX)).alias("table_suffix"),
     )
-    return part_flagged(rows, "archive")
 
 
 def minute_suffixes(from_min: str, to_min: str) -> list[str]:

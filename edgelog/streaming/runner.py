@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -74,20 +74,37 @@ def _tags(df: DataFrame, batch: int) -> tuple[str, str]:
     return f"0-{batch}", f"0-{batch};"
 
 
-def _store(
-    flagged: DataFrame, layout: str, base: str, batch: int, rows: Callable[[DataFrame, tuple[str, str]], None]
+def _store_narrow(
+    flagged: DataFrame, need: list[str], layout: str, base: str, batch: int,
+    rows: Callable[[DataFrame, tuple[str, str]], None],
 ) -> None:
-    """Give the good rows and the batch tags to ``rows``, the others to the quarantine table.
+    """Give the good rows and the batch tags to ``rows``, the others to the quarantine.
 
-    The parsed batch is held, so the source is read and split once.
+    For outputs that read the batch several times. Held are the ``need`` columns, and the
+    raw line of bad rows only.
     """
-    flagged = flagged.persist()
+    raw = F.when(F.col("_reason").isNotNull(), F.col("_raw")).alias("_raw")
+    held = flagged.select(*need, *_broker(flagged), raw, "_reason").persist()
     try:
-        good, bad = parse.part_flagged(flagged, layout)
-        rows(good, _tags(flagged, batch))
+        good, bad = parse.part_flagged(held, layout)
+        rows(good, _tags(held, batch))
         routed_upsert(bad, f"{base}/quarantine", batch, part=["layout"])
     finally:
-        flagged.unpersist()
+        held.unpersist()
+
+
+def _store_whole(
+    flagged: DataFrame, layout: str, base: str, batch: int, write: Callable[[DataFrame], None]
+) -> None:
+    """Write wide rows in one pass without holding them.
+
+    Bad rows are counted on the way; only a batch that has some is read again for them.
+    """
+    seen = Observation()
+    counted = flagged.observe(seen, F.count_if(F.col("_reason").isNotNull()).alias("bad"))
+    write(parse.part_flagged(counted, layout)[0])
+    if seen.get["bad"]:
+        routed_upsert(parse.part_flagged(flagged, layout)[1], f"{base}/quarantine", batch, part=["layout"])
 
 
 def band_handler(
@@ -118,7 +135,8 @@ def band_handler(
                 host = route.route_host(band.host_status(good), tz)
                 routed_upsert(route.with_doc_id(host, F.lit(tag)), f"{base}/host", batch)
 
-        _store(clean.clean_band_flagged(parsed), layout, base, batch, rows)
+        need = [*keys, "time_unix", "body_bytes_sent", *(L.HOST_KEYS[:1] if kind == "jx" else [])]
+        _store_narrow(clean.clean_band_flagged(parsed), need, layout, base, batch, rows)
 
     return run
 
@@ -134,7 +152,7 @@ def detail_handler(base: str, kind: str = "fusion", value: str = "value", tz: st
         routed = route.route_detail(route.with_row_id(clean.clean_detail_flagged(parsed), kind), kind, tz)
         reason = F.coalesce("_reason", F.when(F.col("index_name").isNull(), F.lit("no index")))
         flagged = routed.withColumn("_reason", reason)
-        _store(flagged, layout, base, batch, lambda good, _: routed_upsert(good, f"{base}/detail", batch))
+        _store_whole(flagged, layout, base, batch, lambda good: routed_upsert(good, f"{base}/detail", batch))
 
     return run
 
@@ -151,7 +169,8 @@ def rank_handler(base: str, n: int = 100, value: str = "value", tz: str = DEFAUL
             routed = route.route_rank(route.with_rank_doc_id(top, F.lit(tag)), tz)
             routed_upsert(routed, f"{base}/rank", batch)
 
-        _store(clean.clean_band_flagged(_lenient_size(parsed)), "common34", base, batch, rows)
+        need = ["time_unix", "domain", "request", "http_status", "body_bytes_sent"]
+        _store_narrow(clean.clean_band_flagged(_lenient_size(parsed)), need, "common34", base, batch, rows)
 
     return run
 
@@ -168,13 +187,12 @@ def archive_handler(
     """Raw vendor lines to the archive."""
 
     def run(df: DataFrame, batch: int) -> None:
-        good, bad = archive.archive_lines(
+        flagged = archive.archive_lines_flagged(
             df, value=value, salts=salts, as_of=as_of, hot_days=hot_days, tz=tz
         )
-        write_archive(good, f"{base}/archive", batch)
-        routed_upsert(bad, f"{base}/quarantine", batch, part=["layout"])
+        _store_whole(flagged, "archive", base, batch, lambda good: write_archive(good, f"{base}/archive", batch))
 
-    return fan_out(run)
+    return run
 
 
 def sql_handler(

@@ -108,6 +108,9 @@ def test_detail_stream(spark, log, own, vendor, tmp_path):
     table = writers.read_routed(spark, f"{base}/detail")
     assert table.count() == log.where("body_bytes_sent <> '-'").count()
     assert table.select("index_name").distinct().count() == 4
+    bad = spark.read.parquet(f"{base}/quarantine")
+    assert bad.count() == log.where("body_bytes_sent = '-'").count()
+    assert {r[0] for r in bad.select("reason").distinct().collect()} == {"bad body_bytes_sent"}
 
 
 def test_rank_stream(spark, log, vendor, tmp_path):
