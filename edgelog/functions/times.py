@@ -50,6 +50,13 @@ def local_time(x, tz: str = DEFAULT_TZ) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
+def _seconds(ntz: Column) -> Column:
+    """Seconds from 1970 to a zone-less timestamp. A difference of timestamps would pass
+    through the session zone and shift times its clocks skip."""
+    clock = F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)
+    return F.unix_date(ntz.cast("date")).cast("bigint") * _DAY + clock
+
+
 def fmt_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds as text; ``pattern`` may use yyyy, MM, dd, HH, mm and ss."""
     text = local_time(x, tz).cast("string")
@@ -109,7 +116,7 @@ def parse_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
     )
     whole = F.when(F.length(src) == len(pattern), iso)
     utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), whole.try_cast("timestamp_ntz"))
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), utc)
+    return _seconds(utc)
 
 
 def iso_time(x, tz: str = DEFAULT_TZ) -> Column:
@@ -117,7 +124,7 @@ def iso_time(x, tz: str = DEFAULT_TZ) -> Column:
     local = local_time(x, tz)
     millis = F.round(column(x).cast("double") * 1000).try_cast("bigint")
     utc = F.timestamp_add("MILLISECOND", millis, F.expr(_EPOCH))
-    shift = F.timestamp_diff("MINUTE", utc, local)
+    shift = ((_seconds(local) - _seconds(utc)) / 60).cast("int")
     sign = F.when(shift < 0, "-").otherwise("+")
     hours = F.lpad((F.abs(shift) / 60).cast("int").cast("string"), 2, "0")
     minutes = F.lpad((F.abs(shift) % 60).cast("string"), 2, "0")

@@ -17,8 +17,9 @@ def test_formats_ignore_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        # The second moment falls into a gap of New York clocks when read as UTC+8 text.
-        moments = [0, 1710009000 - 28800, 1704067199, 1499999999]
+        # New York clocks skip two o'clock on 1995-04-02, read as UTC and as UTC+8 text.
+        skipped = 796788900
+        moments = [0, 1704067199, 1499999999, *range(skipped - 36000, skipped + 36000, 1800)]
         df = spark.createDataFrame([(m,) for m in moments], "t bigint")
         got = df.select(
             "t", tm.fmt_epoch("t", "yyyyMMddHHmm").alias("m"), tm.iso_time("t").alias("iso"),
