@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, decontaminate
+from edgelog.llm import byte_bpe, decontaminate, simhash
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -34,3 +34,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
+
+
+@_query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(_table(spark, sf_dir, "documents"))
