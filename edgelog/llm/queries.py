@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, decontaminate, simhash
+from edgelog.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -25,6 +25,11 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
@@ -39,3 +44,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_exact_dedup"] = """
+WITH spaced AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS normal FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(normal) AS text_sha256
+FROM spaced WINDOW same AS (PARTITION BY normal)
+"""
