@@ -1,13 +1,14 @@
 """Byte-level BPE: encoding by a lazily determinised transducer, streaming decoding.
 
 A rank file lists tokens by merge order. A token sequence is the encoding of its bytes
-exactly if every two neighbours stay apart when merged on their own, so an encoding can be
-read from left to right: the encoding of a prefix that ends in token ``t`` extends that of
-a shorter prefix whose last token tolerates ``t`` on its right. The transducer follows all
-prefixes that may still be extended, as pairs of pending tokens and a node of the token
-trie. Its sets of such pairs are the states of a deterministic machine; they are
-built when first met and kept, per byte, with the tokens on which all pairs agree. Those
-tokens are emitted at once, which is after a lookahead bounded by the vocabulary.
+exactly if every two neighbours stay apart when merged on their own. So the machine's
+state is the last token, and from it any token may follow that the state tolerates and
+the next bytes spell: not yet deterministic, as several spell their beginning. An arc is
+determinised when it is first needed: the lookahead runs along the token trie as far as
+the bytes go, which is bounded by the longest token, and the arc for that state and that
+lookahead lists the tokens the state tolerates, longest first. The first is emitted; where
+the next state then has no arc, which the next lookahead shows, it is taken back for the
+second. One path only can arrive.
 
 Texts are split by a pattern first and each match is encoded by itself. Matches repeat, so
 their ids are kept in a bounded table per Python worker.
@@ -16,6 +17,7 @@ their ids are kept in a bounded table per Python worker.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
@@ -26,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Entries of the table of encoded matches, and states of the machine, before they start anew.
-MAX_MATCHES = 300_000
-MAX_STATES = 100_000
+#: Entries of a generation of encoded matches, and of the tables of the machine.
+MAX_MATCHES = 120_000
+MAX_ARCS = 400_000
 #: Characters that are split at once; longer texts are cut where no match can cross.
 SEGMENT = 1 << 20
 ROOT = 0
@@ -58,92 +60,100 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.child: dict[tuple[int, int], int] = {}
-        self.ends = [-1]  # token that ends at a trie node, else -1
+        self.child: dict[int, int] = {}  # trie: 256 * node + byte to node
+        self.token_at = [-1]  # token that ends at a trie node, else -1
         for token, rank in ranks.items():
             node = ROOT
             for byte in token:
-                to = self.child.get((node, byte))
+                to = self.child.get(node << 8 | byte)
                 if to is None:
-                    to = self.child[node, byte] = len(self.ends)
-                    self.ends.append(-1)
+                    to = self.child[node << 8 | byte] = len(self.token_at)
+                    self.token_at.append(-1)
                 node = to
-            self.ends[node] = rank
-        self.apart: dict[tuple[int, int], bool] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        start = (((-1,), ROOT),)
-        self.known = {start: 0}
-        self.states = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-
-    def _tolerates(self, left: int, right: int) -> bool:
-        if left < 0:
-            return True
-        found = self.apart.get((left, right))
+            self.token_at[node] = rank
+        self.parent = [ROOT] * len(self.token_at)
+        for key, to in self.child.items():
+            self.parent[to] = key >> 8
+        self.base = max(self.tokens, default=0) + 2
+        self.apart: dict[int, bool] = {}  # base * left + right
+        # base * lookahead node + last token: tokens to emit and their bytes
+        self.arcs: dict[int, tuple[tuple[int, int], ...]] = {}
+
+    def tolerates(self, left: int, right: int) -> bool:
+        """Whether ``right`` may follow ``left``; nothing (-1) tolerates everything."""
+        key = self.base * left + right
+        found = self.apart.get(key)
         if found is None:
-            if len(self.apart) > 4 * MAX_MATCHES:
+            if len(self.apart) > MAX_ARCS:
                 self.apart.clear()
-            found = merge(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
-            self.apart[left, right] = found
+            found = left < 0 or merge(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
+            self.apart[key] = found
         return found
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Determinise one transition: advance every pair, close tokens, emit what all share."""
-        pairs = []
-        for pending, node in self.states[state]:
-            to = self.child.get((node, byte))
-            if to is None:
-                continue
-            token = self.ends[to]
-            pairs.append((pending, to))
-            if token >= 0 and self._tolerates(pending[-1], token):
-                pairs.append(((*pending, token), ROOT))
-        shared = 0
-        if pairs:
-            shortest = min(len(pending) for pending, _ in pairs)
-            first = pairs[0][0]
-            while shared < shortest and all(p[shared] == first[shared] for p, _ in pairs):
-                shared += 1
-        emitted = pairs[0][0][1:shared] if shared > 1 else ()
-        # the last shared token stays as the left neighbour of what follows
-        rest = tuple((pending[shared - 1 :], node) for pending, node in pairs) if shared else tuple(pairs)
-        to_state = self.known.get(rest)
-        if to_state is None:
-            to_state = self.known[rest] = len(self.states)
-            self.states.append(rest)
-            self.steps.append({})
-        made = self.steps[state][byte] = (to_state, emitted)
-        return made
+    def _determinise(self, left: int, node: int) -> tuple[tuple[int, int], ...]:
+        """Tokens the state ``left`` may emit under the lookahead that ends in ``node``, longest first."""
+        made = []
+        at = node
+        while at != ROOT:
+            token = self.token_at[at]
+            if token >= 0 and self.tolerates(left, token):
+                made.append((token, len(self.tokens[token])))
+            at = self.parent[at]
+        if len(self.arcs) > MAX_ARCS:
+            self.arcs.clear()
+        found = self.arcs[self.base * node + left + 1] = tuple(made)
+        return found
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
-            self._clear()
+        child, arcs, base, size = self.child.get, self.arcs.get, self.base, len(piece)
         out: list[int] = []
-        state, steps = 0, self.steps
-        for byte in piece:
-            found = steps[state].get(byte) or self._step(state, byte)
-            state = found[0]
-            if found[1]:
-                out += found[1]
-        whole = [pending for pending, node in self.states[state] if node == ROOT]
-        if len(whole) != 1:  # a vocabulary that merging alone cannot produce
-            return merge(piece, self.ranks)
-        return out + list(whole[0][1:])
+        behind: list[tuple[tuple, int, int]] = []
+        dead: set[tuple[int, int]] = set()
+        at, left = 0, -1
+        while at < size:
+            node = ROOT
+            for byte in islice(piece, at, None) if at else piece:
+                to = child(node << 8 | byte)
+                if to is None:
+                    break
+                node = to
+            options, pick = arcs(base * node + left + 1), 0
+            if options is None:
+                options = self._determinise(left, node)
+            # a dead end: the state before takes its next shorter token
+            while pick == len(options) or dead and (at + options[pick][1], options[pick][0]) in dead:
+                if pick < len(options):
+                    pick += 1
+                elif not behind:  # a vocabulary that merging alone cannot produce
+                    return merge(piece, self.ranks)
+                else:
+                    dead.add((at, left))
+                    options, pick, at = behind.pop()
+                    out.pop()
+                    left = out[-1] if out else -1
+                    pick += 1
+            token, length = options[pick]
+            behind.append((options, pick, at))
+            out.append(token)
+            at, left = at + length, token
+        return out
 
 
 class Matches(dict):
-    """Match to its ids, packed; bounded."""
+    """Match to its ids, packed. Two generations bound it: what is used again moves on."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_MATCHES:
-            self.clear()
-        packed = np.array(self.transducer.encode(piece.encode()), np.int32).tobytes()
+        packed = self.before.get(piece)
+        if packed is None:
+            packed = array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) <= 64:
+            if len(self) >= MAX_MATCHES:
+                self.before = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
