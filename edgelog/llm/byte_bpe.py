@@ -299,8 +299,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     return _with_columns(docs, {ids: T.ArrayType(T.IntegerType())}, work)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", valid: str = "valid_utf8") -> DataFrame:
-    """``df`` with the bytes of ``ids`` in ``out`` and whether they are UTF-8 in ``valid``; ``ids`` goes.
+def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", valid: str = "valid_utf8", keep: bool = False) -> DataFrame:
+    """``df`` with the bytes of ``ids`` in ``out`` and whether they are UTF-8 in ``valid``.
+
+    Column ``ids`` goes unless ``keep`` is set.
 
     Null ids decode to no bytes. An id outside the vocabulary is an error.
     """
@@ -315,7 +317,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", val
         made = [decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return {out: pa.array([b for b, _ in made], pa.binary()), valid: pa.array([v for _, v in made], pa.bool_())}
 
-    return _with_columns(df, {out: T.BinaryType(), valid: T.BooleanType()}, work, (ids,))
+    return _with_columns(df, {out: T.BinaryType(), valid: T.BooleanType()}, work, () if keep else (ids,))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -4,7 +4,7 @@ Words are maximal runs of digits, ASCII letters (A-Z lower-cased) and characters
 ASCII. A *window* is ``n`` consecutive words of one benchmark item; an item of fewer
 words, but not none, is one window.
 
-Every Arrow batch of documents is a shard. The shard's words become ids in the
+A shard is a run of documents of about ``SHARD_BYTES``. The shard's words become ids in the
 vocabulary of the test block, words the block never uses become 0, and a suffix array
 sorts all suffixes that start with a test word, as deep as the longest item. Each test
 suffix is then binary-searched, giving the interval of its verbatim occurrences. Nothing
@@ -26,6 +26,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from edgelog.llm import shared
 
+#: Text bytes of a shard; a longer text is a shard of its own.
+SHARD_BYTES = 24 << 20
+
 MATCH = T.StructType(
     [
         T.StructField("item", T.StringType()),  # item id as text
@@ -264,18 +267,17 @@ def _stage(block: Block, text: str, out: str, schema: pa.Schema) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, spans, matches = search_shard(batch.column(text), block)
-            before = batch.column(out).to_pylist()
-            found = []
-            for i, old in enumerate(before):
-                parts = spans[i]
+            before, found = batch.column(out).to_pylist(), []
+            shards = (search_shard(part, block) for part in shared.slices(batch.column(text), SHARD_BYTES))
+            rows = (row for shard in shards for row in zip(*shard))
+            for old, (n_words, parts, matches) in zip(before, rows):
                 if old is not None:
                     parts = np.vstack([parts, np.column_stack([old["starts"], old["ends"]]).astype(np.int64).reshape(-1, 2)])
                     parts = _merged(parts)
                 found.append(
                     {
-                        "n_words": int(n_words[i]), "starts": parts[:, 0].tolist(), "ends": parts[:, 1].tolist(),
-                        "matches": (old["matches"] if old else []) + matches[i],
+                        "n_words": int(n_words), "starts": parts[:, 0].tolist(), "ends": parts[:, 1].tolist(),
+                        "matches": (old["matches"] if old else []) + matches,
                     }
                 )
             columns = [pa.array(found, schema.field(out).type) if f.name == out else batch.column(f.name).cast(f.type) for f in schema]

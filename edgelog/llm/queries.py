@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
+from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, simhash, toxicity, url_filter
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -25,6 +25,36 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op1_url_filter"] = """
+WITH cut AS (
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS mark FROM pages
+), parsed AS (
+  SELECT page_id,
+    CASE WHEN mark = 0 THEN '' ELSE translate(regexp_extract(substr(url, mark + 3), '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS host,
+    CASE WHEN mark = 0 THEN '' ELSE regexp_extract(substr(url, mark + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+  FROM cut
+), rules(host, path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), judged AS (
+  SELECT p.page_id, p.host, p.path,
+    arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS said
+  FROM (SELECT *, row_number() OVER () AS row FROM parsed) p
+  LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.row, p.page_id, p.host, p.path
+)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN
+  regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|cheap|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
+
 @_query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -36,6 +66,32 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@_query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(chat.with_probe(_table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op4_chat_format"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), sized AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM rows
+), turns AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+    length(replace(replace(replace(role, '\', '\s'), '<', '\l'), '#', '\h')) AS role_chars,
+    length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '#', '\h')) AS text_chars FROM sized
+), told AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY n) AS said,
+    coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '') AS loss,
+    sum(text_chars + CASE WHEN before IS NOT DISTINCT FROM role THEN 6 ELSE role_chars + 18 END) AS chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(chars AS BIGINT) AS formatted_chars FROM told
+"""
+
+
 @_query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)

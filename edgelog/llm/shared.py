@@ -39,6 +39,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(texts: pa.Array, size: int = 8 << 20) -> list[pa.Array]:
+    """``texts`` in runs of about ``size`` bytes, at least a row each, to bound what a step holds."""
+    _, offsets = text_bytes(texts)
+    cuts, at = [0], 0
+    while at < len(texts):
+        at = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
+        cuts.append(at)
+    return [texts.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 _BYTE = np.arange(256, dtype=np.uint8)
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 #: A-Z to a-z, every other byte as it is.

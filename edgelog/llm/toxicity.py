@@ -23,7 +23,7 @@ from edgelog.llm import shared
 
 #: Labelled documents to learn from: this many of each label at most, and bytes in all.
 SAMPLE_ROWS = 5000
-SAMPLE_BYTES = 48 << 20
+SAMPLE_BYTES = 20 << 20
 #: Features a model keeps, and documents a feature must be seen in.
 FEATURES = 8192
 MIN_DOCS = 3
@@ -37,6 +37,7 @@ BEGINNINGS = (4, 5, 6)
 #: Bytes that end a sentence.
 BREAKS = b".!?\n"
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
 
@@ -94,9 +95,9 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
         return none if not len(labels) or labels[0] == 0 else Model(none.features, none.weights, 20.0)
     bags = split(pa.array(texts, pa.string()))
     doc_of = bags.row[bags.sentence]
-    in_docs = np.unique(np.column_stack([bags.feature, doc_of.astype(np.uint64)]), axis=0)
-    features, index, seen = np.unique(in_docs[:, 0], return_inverse=True, return_counts=True)
-    toxic = np.bincount(index, labels[in_docs[:, 1].astype(np.int64)], len(features))
+    _, once = np.unique(bags.feature * _ODD + doc_of.astype(np.uint64), return_index=True)
+    features, index, seen = np.unique(bags.feature[once], return_inverse=True, return_counts=True)
+    toxic = np.bincount(index, labels[doc_of[once]], len(features))
     share = labels.mean()
     spread = (toxic - share * seen) / np.sqrt(seen * share * (1 - share))
     usable = np.flatnonzero(seen >= MIN_DOCS)
@@ -196,7 +197,9 @@ def with_score(docs: DataFrame, model: Model, score: str = "score", offending: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, found = judge(batch.column(text), model, offending is not None)
+            parts = [judge(part, model, offending is not None) for part in shared.slices(batch.column(text))]
+            made = np.concatenate([score for score, _ in parts] + [np.zeros(0)])
+            found = [row for _, rows in parts for row in rows or []]
             columns = [batch.column(f.name).cast(f.type) for f in list(arrow)[: len(kept)]]
             columns.append(pa.array(made))
             if offending:
