@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, simhash, toxicity, url_filter
+from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, simhash, toxicity, url_filter, warc
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -92,6 +92,25 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 """
 
 
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_warc"] = """
+WITH held AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), sized AS (
+  SELECT page_id, payload, octet_length(payload) AS payload_bytes,
+    max(page_id) OVER (PARTITION BY payload) AS kept FROM held
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM sized
+"""
+
+
 @_query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
