@@ -28,9 +28,11 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Entries of a generation of encoded matches, and of the tables of the machine.
+#: Entries of a generation of encoded matches, and of the tables of the machine; bytes of
+#: a batch that are worked on at once.
 MAX_MATCHES = 120_000
 MAX_ARCS = 400_000
+PART_BYTES = 8 << 20
 #: Characters that are split at once; longer texts are cut where no match can cross.
 SEGMENT = 1 << 20
 ROOT = 0
@@ -266,6 +268,13 @@ def _own(kind: Callable, *args: str) -> object:
     return _MADE[kind, args]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``PART_BYTES``, so that a worker holds the results of few rows."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` without ``drop`` and with columns that ``work`` makes from each Arrow batch."""
     kept = [f for f in df.schema.fields if f.name not in new and f.name not in drop]
@@ -273,7 +282,7 @@ def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, dro
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             made = work(batch)
             columns = [made[f.name] if f.name in new else batch.column(f.name).cast(f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
@@ -311,7 +320,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", val
         decoder = _own(Decoder, path)
         column = batch.column(ids)
         ends = column.offsets.to_numpy(zero_copy_only=False)
-        flat = column.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
         if len(flat) and (flat.min() < 0 or flat.max() >= len(decoder.table)):
             raise ValueError("a token id lies outside the vocabulary")
         made = [decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
