@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, html_text, simhash, toxicity, url_filter, warc
+from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, html_text, quality, simhash, toxicity, url_filter, warc
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -116,6 +116,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
 
 
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.report(_table(spark, sf_dir, "pages"))
