@@ -36,6 +36,8 @@ STEPS, RATE, L2 = 150, 0.1, 1e-3
 CALIBRATION = 4
 THRESHOLD = 0.5
 
+#: Salt of the marks between words.
+_GAP = np.uint64(0xA5A5A5A5A5A5A5A5)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _DIGIT = (np.arange(256) >= 48) & (np.arange(256) <= 57)
 _LETTER = shared.WORD & ~_DIGIT
@@ -67,12 +69,16 @@ class Rows:
 
 
 def content(texts: pa.Array) -> Rows:
-    """Log counts of hashed words, each row of length one, and a constant."""
+    """Log counts of hashed words and of the marks between them, each row of length one, and a constant."""
     data, offsets = shared.text_bytes(texts)
     data = shared.LOWER[data]
     starts, ends = shared.word_spans(data, offsets)
     row = np.searchsorted(offsets, starts, side="right") - 1
-    bucket = (shared.word_hashes(data, starts, ends) >> np.uint64(40)).astype(np.int64) % WORDS
+    hashes = shared.word_hashes(data, starts, ends)
+    gap = np.flatnonzero((row[1:] == row[:-1]) & (starts[1:] - ends[:-1] <= 8))
+    marks = shared.word_hashes(data, ends[gap], starts[gap + 1]) ^ _GAP
+    row = np.append(row, row[gap])
+    bucket = (np.append(hashes, marks) >> np.uint64(40)).astype(np.int64) % WORDS
     both, count = np.unique(row * WORDS + bucket, return_counts=True)
     row, bucket = both // WORDS, both % WORDS
     value = np.log1p(count)
@@ -82,15 +88,19 @@ def content(texts: pa.Array) -> Rows:
 
 
 def metadata(texts: pa.Array, sources: list[str | None], langs: list[str | None]) -> Rows:
-    """Source, language, log sizes and shares of kinds of characters, and a constant."""
+    """Source, language, log sizes, shares of kinds of characters and of repeats, and a constant."""
     data, offsets = shared.text_bytes(texts)
-    starts, _ = shared.word_spans(data, offsets)
+    starts, ends = shared.word_spans(data, offsets)
     n = len(texts)
     size = np.diff(offsets)
     row = np.repeat(np.arange(n), size)
     shares = [np.bincount(row, kind[data[: offsets[-1]]], n) / np.maximum(size, 1) for kind in _KINDS]
-    words = np.bincount(np.searchsorted(offsets, starts, side="right") - 1, minlength=n)[:n] if len(starts) else np.zeros(n)
-    dense = [*shares, np.log1p(size) / 10, np.log1p(words) / 10, size / np.maximum(words, 1) / 20, np.ones(n)]
+    owner = np.searchsorted(offsets, starts, side="right") - 1
+    words = np.bincount(owner, minlength=n)
+    hashes = shared.word_hashes(data, starts, ends)
+    again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])) + 1
+    repeats = np.bincount(owner[again], minlength=n) / np.maximum(words, 1)
+    dense = [*shares, repeats, np.log1p(size) / 10, np.log1p(words) / 10, size / np.maximum(words, 1) / 20, np.ones(n)]
     features, values, rows = [], [], []
     for i, column in enumerate(dense):
         features.append(np.full(n, i)), values.append(column), rows.append(np.arange(n))
@@ -104,7 +114,7 @@ def metadata(texts: pa.Array, sources: list[str | None], langs: list[str | None]
     return Rows(np.concatenate(features).astype(np.int64), np.concatenate(values), np.concatenate(rows), n)
 
 
-META = len(_KINDS) + 4 + 2 * PLACES
+META = len(_KINDS) + 5 + 2 * PLACES
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
