@@ -113,7 +113,8 @@ def groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Data
     if fed.isEmpty():
         none = F.lit(None)
         return fed.select("doc_id", "digest", none.cast(kind).alias("keep_id"), none.cast("long").alias("group_size"), none.cast("boolean").alias("kept"))
-    state = latest(spark, f"{base}/state", schema)
+    # written, so that both sides of the join below are plain shuffles and hot digests can be split
+    state = shared.stored(latest(spark, f"{base}/state", schema), "latest")
     repeated = shared.stored(state.filter("n > 1").select(F.xxhash64("digest").alias("short")).distinct(), "repeated")
     collided = shared.stored(_collisions(docs, repeated, digest), "collided")
     claimed = state.select("digest", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"))
