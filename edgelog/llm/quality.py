@@ -25,7 +25,7 @@ from edgelog.llm import shared
 
 #: Rows of the sample: of each label, and without a label; and bytes of their texts in all.
 SAMPLE_ROWS = 3000
-SAMPLE_BYTES = 24 << 20
+SAMPLE_BYTES = 16 << 20
 #: Buckets of the hashed words, and of the hashed source and language.
 WORDS, PLACES = 1 << 15, 64
 ROUNDS = 4
@@ -246,7 +246,7 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for part in shared.slices(batch.column("text"), 4 << 20):
+            for part in shared.slices(batch.column("text")):
                 rows = batch.slice(at, len(part))
                 at += len(part)
                 views = [content(part), metadata(part, rows.column("source").to_pylist(), rows.column("lang").to_pylist())]

@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from edgelog.session import shared_dir
@@ -39,12 +40,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(texts: pa.Array, size: int = 8 << 20) -> list[pa.Array]:
+def slices(texts: pa.Array, size: int = 2 << 20) -> list[pa.Array]:
     """``texts`` in runs of about ``size`` bytes, at least a row each, to bound what a step holds."""
-    _, offsets = text_bytes(texts)
-    cuts, at = [0], 0
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, cuts, at = np.cumsum(lengths), [0], 0
     while at < len(texts):
-        at = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
+        before = ends[at] - lengths[at]
+        at = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
         cuts.append(at)
     return [texts.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
 

@@ -23,7 +23,7 @@ from edgelog.llm import shared
 
 #: Labelled documents to learn from: this many of each label at most, and bytes in all.
 SAMPLE_ROWS = 5000
-SAMPLE_BYTES = 20 << 20
+SAMPLE_BYTES = 10 << 20
 #: Features a model keeps, and documents a feature must be seen in.
 FEATURES = 8192
 MIN_DOCS = 3
