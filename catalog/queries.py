@@ -691,7 +691,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return filters.keep_policy(fx.log(spark, sf)).select("line_num", "http_status", "layer", "domain")
+    return filters.keep_policy(fx.log(spark, sf), domain_substr="wasu").select("line_num", "http_status", "layer", "domain")
 
 
 _N = 10
@@ -947,10 +947,7 @@ def _(spark, sf):
 
 @query("archive_union_late", fx.with_log("SELECT * FROM a WHERE table_suffix IN ('20240101', '202401')", a=fx.archive_sql()))
 def _(spark, sf):
-    rows = fx.archive(spark, sf)
-    return arc.archive_union(
-        rows.where("table_suffix = '20240101'"), rows.where("table_suffix = '202401'")
-    )
+    return arc.archive_tables(fx.archive(spark, sf), ["20240101", "202401"])
 
 
 # ---- scalar functions --------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from edgelog.functions.times import column
+from edgelog.functions.times import EPOCH_RANGE, column
 
 
 def lenient(x, type_: str = "double", default=0) -> Column:
@@ -27,6 +27,15 @@ def finite(x) -> Column:
     return F.when(F.abs(d) < F.lit(2.0**63), d)
 
 
+def log_time(x) -> Column:
+    """Epoch seconds of a record; null where it is no number or outside the years 1970 to 9999.
+
+    Milliseconds sent as seconds fall outside and so reach the quarantine.
+    """
+    d = finite(x)
+    return F.when((d >= EPOCH_RANGE[0]) & (d < EPOCH_RANGE[1]), d)
+
+
 def dash_to_zero(x) -> Column:
     """Missing or ``-`` gives 0, other text its number, bad text null."""
     c = F.coalesce(column(x).cast("string"), F.lit("0"))
@@ -34,11 +43,12 @@ def dash_to_zero(x) -> Column:
 
 
 def ip_to_long(x) -> Column:
-    """Dotted IPv4 text as a number; null where it has not four octets."""
+    """Dotted IPv4 text as a number; null where it has not four octets of 0 to 255."""
     octets = F.split(column(x), r"\.")
     total = F.lit(0).cast("bigint")
     for i in range(4):
-        total = total * 256 + F.try_element_at(octets, F.lit(i + 1)).try_cast("bigint")
+        octet = F.try_element_at(octets, F.lit(i + 1)).try_cast("bigint")
+        total = total * 256 + F.when(octet.between(0, 255), octet)
     return F.when(F.size(octets) == 4, total)
 
 

@@ -22,6 +22,8 @@ _TOKENS = {
 _AFTER = {"yyyy": "-", "MM": "-", "dd": " ", "HH": ":", "mm": ":"}
 _TOKEN_RE = re.compile("yyyy|MM|dd|HH|mm|ss")
 _DAY = 86400
+#: Epoch seconds a log time may have: 1970 to the end of 9999, a day less for any zone.
+EPOCH_RANGE = (0, 253402300800 - 86400)
 # Seconds from a UTC midnight to the next midnight at UTC+8.
 _UTC8_MIDNIGHT = 57600
 
@@ -44,12 +46,19 @@ def day_start_utc8(x) -> Column:
 
 
 def local_time(x, tz: str = DEFAULT_TZ) -> Column:
-    """Epoch seconds (whole or fractional) as a zone-less timestamp in ``tz``."""
-    millis = F.round(column(x).cast("double") * 1000).try_cast("bigint")
-    utc = F.timestamp_add("MILLISECOND", millis, F.expr(_EPOCH))
+    """Epoch seconds (whole or fractional) as a zone-less timestamp in ``tz``; null far outside
+    the years a log can hold."""
+    utc = F.timestamp_add("MILLISECOND", _millis(x), F.expr(_EPOCH))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
+def _millis(x) -> Column:
+    """Epoch milliseconds; null where no text form with four digits of year exists."""
+    seconds = column(x).cast("double")
+    shown = (seconds >= -EPOCH_RANGE[1] // 10) & (seconds < EPOCH_RANGE[1])
+    return F.when(shown, F.round(seconds * 1000)).try_cast("bigint")
+
+
 def _seconds(ntz: Column) -> Column:
     """Seconds from 1970 to a zone-less timestamp. A difference of timestamps would pass
     through the session zone and shift times its clocks skip."""
@@ -121,8 +130,7 @@ def parse_epoch(x, pattern: str, tz: str = DEFAULT_TZ) -> Column:
 
 def iso_time(x, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds as ``yyyy-MM-dd'T'HH:mm:ss.SSSZ`` in ``tz``."""
-    local = local_time(x, tz)
-    millis = F.round(column(x).cast("double") * 1000).try_cast("bigint")
+    local, millis = local_time(x, tz), _millis(x)
     utc = F.timestamp_add("MILLISECOND", millis, F.expr(_EPOCH))
     shift = ((_seconds(local) - _seconds(utc)) / 60).cast("int")
     sign = F.when(shift < 0, "-").otherwise("+")

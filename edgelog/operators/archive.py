@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgelog import layouts as L
-from edgelog.functions.scalars import quoted
+from edgelog.functions.scalars import log_time, quoted
 from edgelog.functions.times import DEFAULT_TZ, day_start_utc8, fmt_epoch, minute_text
 from edgelog.operators.parse import part_flagged, split_lines
 
@@ -92,7 +92,8 @@ def archive_lines_flagged(
     )
     line = F.col("line_num").try_cast("bigint")
     exact = F.col("_n") == width
-    seconds = F.col("time_unix").try_cast("bigint")
+    whole = F.col("time_unix").try_cast("bigint")
+    seconds = F.when(log_time(whole).isNotNull(), whole)
     reason = (
         F.when((F.col("_n") != width) & (F.col("_n") < width + 2), F.lit("wrong number of fields"))
         .when(line.isNull(), F.lit("bad line_num"))
@@ -145,8 +146,14 @@ def archive_scan(
     return rows if firm is None else rows.where(F.col("firm_name") == firm)
 
 
+def archive_tables(df: DataFrame, suffixes: list[str]) -> DataFrame:
+    """Rows of several tables of one archive in one scan of just those folders."""
+    return df.where(F.col("table_suffix").isin(*suffixes))
+
+
 def archive_union(daily: DataFrame, late: DataFrame) -> DataFrame:
-    """Rows of a daily table and of the monthly table that took its late arrivals."""
+    """Rows of a daily table and of the monthly table that took its late arrivals, where
+    these are frames of their own; of one archive take :func:`archive_tables`."""
     return daily.unionByName(late)
 
 

@@ -23,11 +23,14 @@ _OFFSETS = "10000000000000000000"
 
 
 def _numeric_tag(tag: str) -> Column:
-    """A ``p-offset`` tag as one number, which a hash aggregate can take the least of."""
+    """A ``p-offset`` tag as one number, which a hash aggregate can take the least of.
+
+    A tag that cannot be read is null and so never the least.
+    """
     parts = F.split(tag, "-")
-    number = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)).try_cast("decimal(19,0)"), F.lit(0))
+    number = lambda i: F.try_element_at(parts, F.lit(i)).try_cast("decimal(19,0)")
     big = F.lit(_OFFSETS).cast("decimal(20,0)")
-    return (number(1).cast("decimal(10,0)") * big + number(2)).cast("decimal(38,0)")
+    return (number(1).try_cast("decimal(10,0)") * big + number(2)).try_cast("decimal(38,0)")
 
 
 def _tag_text(number: Column) -> Column:

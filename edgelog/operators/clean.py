@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgelog.functions.scalars import dash_to_zero, finite, text_or_zero
+from edgelog.functions.scalars import dash_to_zero, finite, log_time, text_or_zero
 from edgelog.functions.times import floor_to
 from edgelog.operators.parse import part_flagged
 
@@ -42,7 +42,7 @@ def _flag(df: DataFrame, typed: dict[str, Column], with_time: bool) -> DataFrame
 
 
 def clean_band_flagged(df: DataFrame, with_ingest_time: bool = False) -> DataFrame:
-    typed = {"time_unix": finite(_source(df, "time_unix")), "body_bytes_sent": finite(_source(df, "body_bytes_sent"))}
+    typed = {"time_unix": log_time(_source(df, "time_unix")), "body_bytes_sent": finite(_source(df, "body_bytes_sent"))}
     return _flag(df, typed, with_ingest_time)
 
 
@@ -52,7 +52,7 @@ def clean_band(df: DataFrame, layout: str = "band", **options) -> tuple[DataFram
 
 
 def clean_detail_flagged(df: DataFrame, with_ingest_time: bool = False) -> DataFrame:
-    when = finite(_source(df, "time_unix"))
+    when = log_time(_source(df, "time_unix"))
     typed = {
         "time_unix": when,
         "time_mt": floor_to(when, 60),

@@ -6,22 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelog.functions.scalars import text_or_zero
-from edgelog.operators.joins import broadcast_if_small
 
 # The standing retention policy.
 OK_STATUSES = ("200", "206", "304")
 KEPT_LAYERS = ("0", "1")
-KEPT_DOMAIN = "wasu"
 
 
 def keep_policy(
-    df: DataFrame, ok=OK_STATUSES, layers=KEPT_LAYERS, domain_substr: str = KEPT_DOMAIN
+    df: DataFrame, ok=OK_STATUSES, layers=KEPT_LAYERS, domain_substr: str | None = None
 ) -> DataFrame:
-    """Keep every failure, and successes of the given layers or domains."""
+    """Keep every failure, and successes of the given layers or of domains with the given text."""
     status, layer = text_or_zero("http_status"), text_or_zero("layer")
-    return df.where(
-        ~status.isin(*ok) | layer.isin(*layers) | text_or_zero("domain").contains(domain_substr)
-    )
+    kept = ~status.isin(*ok) | layer.isin(*layers)
+    if domain_substr:
+        kept |= text_or_zero("domain").contains(domain_substr)
+    return df.where(kept)
 
 
 def time_range(df: DataFrame, column: str, start, end) -> DataFrame:
@@ -30,11 +29,14 @@ def time_range(df: DataFrame, column: str, start, end) -> DataFrame:
 
 
 def in_list(df: DataFrame, column: str, values) -> DataFrame:
-    """Rows whose column is in a short list, or in the one column of a frame."""
+    """Rows whose column is in a short list, or in the one column of a frame.
+
+    The engine broadcasts the frame where its shuffled bytes are below its threshold.
+    """
     if isinstance(values, DataFrame):
         name = values.columns[0]
         wanted = values.select(F.col(name).alias(column)).distinct()
-        return df.join(broadcast_if_small(wanted), column, "left_semi")
+        return df.join(wanted, column, "left_semi")
     return df.where(F.col(column).isin(*values))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgelog import layouts as L
-from edgelog.functions.scalars import drop_outer_quotes, lenient
+from edgelog.functions.scalars import drop_outer_quotes, lenient, log_time
 from edgelog.functions.times import floor_to, parse_epoch
 
 QUARANTINE_COLUMNS = ["raw", "reason", "layout"]
@@ -150,10 +150,10 @@ def parse_archive(df: DataFrame, kind: str, keep: list[str] | None = None) -> tu
     return good, bad
 
 
-def sql42_columns(suffix_month: str | None = "201705") -> list[Column]:
+def sql42_columns(suffix_month: str | None = None) -> list[Column]:
     """Id, file day and lower-case firm of a vendor record.
 
-    File days in ``suffix_month`` get the suffix ``-1``.
+    File days in ``suffix_month``, if one is named, get the suffix ``-1``.
     """
     stamp = F.try_element_at(F.split("file_name", "_"), F.lit(3))
     day = F.substring(stamp, 1, 8)
@@ -167,7 +167,7 @@ def sql42_columns(suffix_month: str | None = "201705") -> list[Column]:
 
 
 def parse_sql42_flagged(
-    df: DataFrame, *, value: str = "value", sep: str = L.FIELD_SEP, suffix_month: str | None = "201705"
+    df: DataFrame, *, value: str = "value", sep: str = L.FIELD_SEP, suffix_month: str | None = None
 ) -> DataFrame:
     """Vendor lines as the 42 typed columns user SQL works on."""
     lines = df.select(F.col(value).cast("string").alias("_raw"))
@@ -218,12 +218,12 @@ def rank_input(
     flagged = parse_flagged(
         df, "common34", value=value, sep=sep, on_short="quarantine", min_fields=min_fields
     )
-    reason = F.coalesce(
-        "_reason", F.when(F.col("time_unix").try_cast("bigint").isNull(), F.lit("bad time_unix"))
-    )
+    whole = F.col("time_unix").try_cast("bigint")
+    seconds = F.when(log_time(whole).isNotNull(), whole)
+    reason = F.coalesce("_reason", F.when(seconds.isNull(), F.lit("bad time_unix")))
     narrow = flagged.select(
         "_raw",
-        F.col("time_unix").try_cast("bigint").alias("time_unix"),
+        seconds.alias("time_unix"),
         "domain",
         "request",
         "http_status",

@@ -9,23 +9,37 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgelog.operators.joins import broadcast_if_small
 
 
 def ratings_text(df: DataFrame, value: str = "value") -> DataFrame:
     """``user item rate`` lines as ratings."""
     p = F.split(value, " ")
-    return df.select(
-        p[0].try_cast("int").alias("user"), p[1].try_cast("int").alias("item"),
-        p[2].try_cast("double").alias("rating"),
-    )
+    at = lambda i, kind: F.try_element_at(p, F.lit(i)).try_cast(kind)
+    return df.select(at(1, "int").alias("user"), at(2, "int").alias("item"), at(3, "double").alias("rating"))
 
 
 def labeled_points(df: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
-    """``label<sep>f f f`` lines as label and feature vector; the separator is literal."""
+    """``label<sep>f f f`` lines as label and feature vector; the separator is literal.
+
+    Lines that cannot be read are left to :func:`unreadable_points`.
+    """
     p = F.split(value, f"\\Q{sep}\\E")
-    numbers = F.transform(F.split(p[1], " "), lambda x: x.cast("double"))
-    return df.select(p[0].cast("double").alias("label"), array_to_vector(numbers).alias("features"))
+    numbers = F.transform(F.split(F.try_element_at(p, F.lit(2)), " "), lambda x: x.try_cast("double"))
+    label = F.try_element_at(p, F.lit(1)).try_cast("double")
+    read = df.select(label.alias("label"), numbers.alias("_f"))
+    usable = read.where("label IS NOT NULL AND _f IS NOT NULL AND NOT exists(_f, x -> x IS NULL)")
+    return usable.select("label", array_to_vector("_f").alias("features"))
+
+
+def unreadable_points(df: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
+    """The lines :func:`labeled_points` leaves out, with the reason."""
+    p = F.split(value, f"\\Q{sep}\\E")
+    numbers = F.transform(F.split(F.try_element_at(p, F.lit(2)), " "), lambda x: x.try_cast("double"))
+    reason = (
+        F.when(F.try_element_at(p, F.lit(1)).try_cast("double").isNull(), F.lit("bad label"))
+        .when(numbers.isNull() | F.exists(numbers, lambda x: x.isNull()), F.lit("bad feature"))
+    )
+    return df.select(F.col(value).alias("raw"), reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def libsvm(spark: SparkSession, path: str, num_features: int | None = None) -> DataFrame:
@@ -58,7 +72,7 @@ def cosine_users(ratings: DataFrame, user, digits: int = 6) -> DataFrame:
     """
     known = ratings.groupBy("user", "item").agg(F.avg("rating").alias("rating"))
     own = known.where(F.col("user") == F.lit(user)).select("item", F.col("rating").alias("_own"))
-    joined = known.join(broadcast_if_small(own), "item", "left")
+    joined = known.join(own, "item", "left")
     sums = joined.groupBy("user").agg(
         F.sum(F.col("rating") * F.coalesce("_own", F.lit(0.0))).alias("_dot"),
         F.sum(F.col("rating") * F.col("rating")).alias("_norm"),

@@ -8,7 +8,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from edgelog import layouts as L
 from edgelog.functions.times import DEFAULT_TZ
@@ -21,7 +20,7 @@ from edgelog.streaming import runner
 
 def _stream_source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if a.brokers:
-        options = readers.kafka_options(a.brokers, a.topics, a.start, a.max_per_trigger)
+        options = readers.kafka_options(a.brokers, a.topics, a.start, a.max_per_trigger, not a.allow_data_loss)
         return readers.source(spark, "kafka", **options)
     options = {"maxFilesPerTrigger": a.max_per_trigger} if a.max_per_trigger else {}
     return readers.source(spark, a.format, L.RAW_LINE_SCHEMA, a.path, **options)
@@ -41,24 +40,35 @@ def _handler(a: argparse.Namespace) -> runner.Handler:
     if a.job == "band-stream":
         return runner.band_handler(a.out, a.kind, tz=a.tz)
     if a.job == "detail-stream":
-        return runner.detail_handler(a.out, a.kind, tz=a.tz)
+        return runner.detail_handler(a.out, a.kind, tz=a.tz, keep_domain=a.keep_domain)
+    if a.job == "firm-day-stream":
+        return runner.firm_day_handler(a.out, tz=a.tz, keep=a.keep, keep_domain=a.keep_domain)
+    if a.job == "event-stream":
+        return runner.event_handler(a.out, tz=a.tz)
+    if a.job == "raw-stream":
+        return runner.raw_handler(a.out)
     if a.job == "rank-stream":
         return runner.rank_handler(a.out, a.top, tz=a.tz)
     if a.job == "archive-stream":
         return runner.archive_handler(a.out, salts=a.salts, hot_days=a.hot_days, tz=a.tz)
-    return runner.sql_handler(a.view, a.sql, _sql_sink(a.out))
+    return runner.sql_handler(a.view, a.sql, _sql_sink(a.out), f"{a.out}-quarantine")
 
 
 def _archive(spark: SparkSession, path: str) -> DataFrame:
     return writers.read_routed(spark, path, ["table_suffix"])
 
 
+STREAMS = (
+    "band-stream", "detail-stream", "rank-stream", "archive-stream", "sql-stream", "firm-day-stream", "event-stream", "raw-stream",
+)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="edgelog")
     top.add_argument("--tz", default=DEFAULT_TZ)
     jobs_ = top.add_subparsers(dest="job", required=True)
 
-    for name in ("band-stream", "detail-stream", "rank-stream", "archive-stream", "sql-stream"):
+    for name in STREAMS:
         p = jobs_.add_parser(name)
         p.add_argument("--brokers")
         p.add_argument("--topics")
@@ -68,6 +78,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--max-per-trigger", type=int)
         p.add_argument("--interval", help="for example '60 seconds'; without it, work off what is there")
         p.add_argument("--checkpoint", required=True)
+        p.add_argument("--writer", help="mark of what this stream writes; by default an id its checkpoint keeps")
         p.add_argument("--out", required=True)
         p.add_argument("--kind", default="fusion", choices=["fusion", "jx"])
         p.add_argument("--top", type=int, default=100)
@@ -75,9 +86,12 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--hot-days", type=int, default=30)
         p.add_argument("--view", default="logs")
         p.add_argument("--sql")
+        p.add_argument("--keep", action="store_true", help="apply the retention policy")
+        p.add_argument("--keep-domain", help="text of domains whose successes are kept on any layer")
+        p.add_argument("--allow-data-loss", action="store_true", help="go on where the broker no longer has saved offsets")
 
     p = jobs_.add_parser("rebuild-band")
-    for name in ("archive", "out", "coverage", "from_min", "to_min"):
+    for name in ("archive", "out", "from_min", "to_min"):
         p.add_argument(name)
     p.add_argument("--firm")
     p.add_argument("--kind", default="fusion", choices=["fusion", "jx"])
@@ -85,7 +99,6 @@ def parser() -> argparse.ArgumentParser:
     p = jobs_.add_parser("check-band")
     for name in ("archive", "band", "out", "from_min", "to_min"):
         p.add_argument(name)
-    p.add_argument("--coverage", help="where rebuilds of the band table are recorded")
     p.add_argument("--full", action="store_true")
 
     p = jobs_.add_parser("rank-hours")
@@ -94,6 +107,18 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("first", type=int)
     p.add_argument("until", type=int)
     p.add_argument("--top", type=int, default=2000)
+    p.add_argument("--skip-missing", action="store_true", help="pass over hours without files")
+
+    p = jobs_.add_parser("rank-sql")
+    for name in ("path", "out"):
+        p.add_argument(name)
+    p.add_argument("--top", type=int, default=2)
+    p.add_argument("--metric", default="traffic")
+
+    p = jobs_.add_parser("compact-band")
+    for name in ("base", "target"):
+        p.add_argument(name)
+    p.add_argument("--kind", default="fusion", choices=["fusion", "jx"])
 
     p = jobs_.add_parser("rank-archive")
     for name in ("archive", "out", "from_min", "to_min"):
@@ -121,20 +146,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or build_session(f"edgelog-{a.job}")
     if a.job.endswith("-stream"):
         source = _stream_source(spark, a)
-        runner.run_stream(source, _handler(a), a.checkpoint, a.interval, a.job).awaitTermination()
+        runner.run_stream(source, _handler(a), a.checkpoint, a.interval, a.job, a.writer).awaitTermination()
     elif a.job == "rebuild-band":
         archive = _archive(spark, a.archive)
-        jobs.run_rebuild(spark, archive, a.out, a.coverage, a.from_min, a.to_min, a.firm, a.kind, tz=a.tz)
+        jobs.run_rebuild(spark, archive, a.out, a.from_min, a.to_min, a.firm, a.kind, tz=a.tz)
     elif a.job == "check-band":
-        band = spark.read.parquet(f"{a.band}/band").where(F.col("index_name").startswith(L.INDEX_BAND_5M))
-        if a.coverage:
-            band = writers.effective_band(band, spark.read.schema(writers.COVERAGE_SCHEMA).parquet(a.coverage))
+        band = writers.read_band(spark, a.band, L.INDEX_BAND_5M)
         report = jobs.check_band(_archive(spark, a.archive), band, a.from_min, a.to_min, a.full, a.tz)
         report.write.mode("overwrite").parquet(a.out)
     elif a.job == "rank-hours":
-        jobs.rank_hours(spark, a.logs, a.out, a.progress, a.until, a.first, a.top, a.tz)
+        jobs.rank_hours(spark, a.logs, a.out, a.progress, a.until, a.first, a.top, a.tz, skip_missing=a.skip_missing)
+    elif a.job == "rank-sql":
+        jobs.rank_sql_files(spark, a.path, a.out, a.top, a.metric)
+    elif a.job == "compact-band":
+        writers.compact_band(spark, a.base, a.target, {"fusion": L.FUSION_KEYS, "jx": L.JX_KEYS}[a.kind])
     elif a.job == "rank-archive":
-        top = jobs.rank_archive(_archive(spark, a.archive), a.from_min, a.to_min, a.kind, a.top)
+        top = jobs.rank_archive(
+            _archive(spark, a.archive), a.from_min, a.to_min, a.kind, a.top, quarantine=f"{a.out}-quarantine"
+        )
         top.write.mode("overwrite").parquet(a.out)
     elif a.job == "export-logs":
         detail = readers.index_wildcard(writers.read_routed(spark, a.detail), a.indices.split(","))

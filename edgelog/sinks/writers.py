@@ -1,19 +1,22 @@
 """Outputs: routed tables, text packages and pass-through sinks.
 
-A routed table is partitioned by where a row belongs and by the batch that wrote it. A
-batch only ever replaces its own partitions, so a repeated batch leaves the table as it
-was and no write has to read or rewrite what others wrote. Readers take the newest row
+A routed table is partitioned by where a row belongs and by what wrote it: the writer (a
+stream's id, kept in its checkpoint, or the name of a job's input), its run and its
+batch. A batch only ever replaces its own partitions, so a repeated batch leaves the
+table as it was, and nothing that another writer stored is read, rewritten or removed. Readers take the newest row
 of an id (:func:`latest`) or sum partial rows.
 """
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgelog.functions.times import DEFAULT_TZ, fmt_epoch
-from edgelog.operators.joins import broadcast_if_small
 from edgelog.operators.userlog import user_log_lines
 
 
@@ -29,36 +32,57 @@ def _replace_own(df: DataFrame, parts: list[str]):
 
 def routed_upsert(
     df: DataFrame, base: str, batch: int, part: list[str] | None = None, exclude: list[str] | None = None,
-    sort: list[str] | None = None, run: int = 0,
+    sort: list[str] | None = None, run: int = 0, writer: str | None = None,
 ) -> None:
     """Write the rows of one batch to the folders their ``part`` columns name.
 
     ``sort`` orders rows inside a file, which lets later range scans skip row groups.
-    ``run`` is 0 for streams and the number of the run for a rebuild.
+    ``run`` is 0 for streams and the number of the run for a rebuild. ``writer`` must differ
+    between any two sources whose batches have nothing to do with each other; inside a
+    stream it is the stream's own id unless named.
     """
     parts = part or ["index_name"]
     rows = _spread(df.drop(*(exclude or [])), parts)
     marked = rows.withColumns(
-        {"run": F.lit(run).cast("bigint"), "batch": F.lit(batch).cast("bigint")}
+        {"writer": F.lit(writer or stream_id(df.sparkSession)), "run": F.lit(run).cast("bigint"), "batch": F.lit(batch).cast("bigint")}
     )
-    folders = [*parts, "run", "batch"]
+    folders = [*parts, "writer", "run", "batch"]
     if sort:
         marked = marked.sortWithinPartitions(*folders, *sort)
     _replace_own(marked, folders).parquet(base)
 
 
+#: Writer of the batch that is being handled, set by the stream runner.
+CURRENT_WRITER: ContextVar[str | None] = ContextVar("current_writer", default=None)
+
+
+def stream_id(spark: SparkSession) -> str:
+    """Writer of the stream whose batch is being handled: its name, else the id its checkpoint keeps."""
+    return CURRENT_WRITER.get() or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+def source_id(*parts: str | None) -> str:
+    """Writer name of a job that reads what ``parts`` name."""
+    return md5("\n".join(p or "" for p in parts).encode(), usedforsecurity=False).hexdigest()
+
+
+def found(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_routed(spark: SparkSession, base: str, part: list[str] | None = None) -> DataFrame:
     """Every row of every batch, folder names read as text."""
     parts = part or ["index_name"]
-    found = spark.read.parquet(base)
-    typed = [F.col(c).cast("string").alias(c) if c in parts else F.col(c) for c in found.columns]
-    return found.select(*typed)
+    plain = spark.read.option("recursiveFileLookup", "true").parquet(base).schema
+    folders = [T.StructField(p, T.StringType()) for p in (*parts, "writer")] + [T.StructField(p, T.LongType()) for p in ("run", "batch")]
+    return spark.read.schema(T.StructType([*plain.fields, *folders])).parquet(base)
 
 
 def latest(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The newest row of each key. Each task first cuts its keys to one row."""
     ids = keys or ["id"]
-    rest = [c for c in df.columns if c not in ("run", "batch")]
+    rest = [c for c in df.columns if c not in ("writer", "run", "batch")]
     order = [F.col("run").desc(), F.col("batch").desc(), F.xxhash64(*rest).desc()]
     rank = F.row_number().over(Window.partitionBy(*ids).orderBy(*order))
     return df.withColumn("_rn", rank).where(F.col("_rn") == 1).drop("_rn")
@@ -67,7 +91,7 @@ def latest(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 def snapshot(spark: SparkSession, base: str, target: str, keys: list[str] | None = None, part: list[str] | None = None) -> None:
     """Write the newest rows of a routed table to a table of its own."""
     parts = part or ["index_name"]
-    rows = latest(read_routed(spark, base, parts), keys).drop("run", "batch")
+    rows = latest(read_routed(spark, base, parts), keys).drop("writer", "run", "batch")
     _replace_own(_spread(rows, parts), parts).parquet(target)
 
 
@@ -81,6 +105,11 @@ COVERAGE_SCHEMA = T.StructType(
 )
 
 
+def coverage_path(base: str) -> str:
+    """Where a band table keeps what rebuilds cover; part of the table."""
+    return f"{base}/coverage"
+
+
 def add_coverage(spark: SparkSession, path: str, start: int, end: int, run: int, firm: str | None = None) -> None:
     """Record that ``run`` has rebuilt the buckets of ``[start, end)``; this publishes it."""
     row = spark.createDataFrame([(start, end, firm, run)], COVERAGE_SCHEMA)
@@ -101,16 +130,49 @@ def effective_band(rows: DataFrame, coverage: DataFrame, step: int = 60) -> Data
     firm = buckets.where("firm_name IS NOT NULL").groupBy("from_time", "firm_name").agg(
         F.max("run").alias("_firm")
     )
-    joined = rows.join(broadcast_if_small(whole), "from_time", "left").join(
-        broadcast_if_small(firm), ["from_time", "firm_name"], "left"
-    )
+    joined = rows.join(whole, "from_time", "left").join(firm, ["from_time", "firm_name"], "left")
     wanted = F.greatest(F.coalesce("_all", F.lit(0)), F.coalesce("_firm", F.lit(0)))
     return joined.where(F.col("run") == wanted).select(*rows.columns)
 
 
-def write_archive(df: DataFrame, base: str, batch: int) -> None:
+def read_band(spark: SparkSession, base: str, prefix: str, index_type: str | None = None, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Rows of a band table that count, of indices that start with ``prefix``.
+
+    The one way to read a band table: rebuilds replace what they cover. With ``start``
+    and ``end`` only buckets of that range are read, and coverage is cut to it first.
+    """
+    rows = read_routed(spark, f"{base}/band", ["index_name", "index_type"]).where(F.col("index_name").startswith(prefix))
+    if index_type:
+        rows = rows.where(F.col("index_type") == index_type)
+    low, high = (F.lit(x).cast("bigint") for x in (start, end))
+    if start is not None:
+        rows = rows.where(F.col("from_time") >= low)
+    if end is not None:
+        rows = rows.where(F.col("from_time") < high)
+    if not found(spark, coverage_path(base)):
+        return rows.where("run = 0")
+    coverage = spark.read.schema(COVERAGE_SCHEMA).parquet(coverage_path(base))
+    cut = coverage.withColumns({"start": F.greatest("start", low), "end": F.least("end", high)}).where("start < end")
+    return effective_band(rows, cut)
+
+
+def compact_band(spark: SparkSession, base: str, target: str, keys: list[str]) -> None:
+    """Write a band table anew: one row per key and bucket, few files per index.
+
+    What counts is summed, so partial rows and replaced rebuilds go. ``target`` is a band
+    table of its own, to be put in place of the old one between runs of its streams.
+    """
+    rows = read_band(spark, base, "")
+    whole = rows.groupBy(*keys, "from_time", "index_name", "index_type").agg(
+        F.sum("req_count").alias("req_count"), F.sum("traffic").alias("traffic"), F.sum("traffic_pm").alias("traffic_pm"),
+        F.first("log_date").alias("log_date"), F.min("id").alias("id"),
+    )
+    routed_upsert(whole, f"{target}/band", 0, part=["index_name", "index_type"], writer="compacted")
+
+
+def write_archive(df: DataFrame, base: str, batch: int, writer: str | None = None) -> None:
     """Archive rows by table, several tables in one pass, ordered by minute in each file."""
-    routed_upsert(df, base, batch, part=["table_suffix"], sort=["log_minute"])
+    routed_upsert(df, base, batch, part=["table_suffix"], sort=["log_minute"], writer=writer)
 
 
 def raw_lines_archive(df: DataFrame, base: str, batch: int, value: str = "value", suffix: str = "raw") -> None:

@@ -27,18 +27,19 @@ def source(spark: SparkSession, fmt: str, schema=None, path: str | None = None,
 
 
 def kafka_options(
-    brokers: str, topics, start: str = "latest", max_per_trigger: int | None = None
+    brokers: str, topics, start: str = "latest", max_per_trigger: int | None = None, fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Options for :func:`source` with the ``kafka`` format.
 
-    Offsets are kept in the stream's checkpoint; ``start`` only counts on first use, and
-    a saved offset the broker no longer has moves on instead of failing.
+    Offsets are kept in the stream's checkpoint; ``start`` only counts on first use. A
+    saved offset the broker no longer has ends the stream; with ``fail_on_data_loss`` off
+    it moves on, and the broker source logs the range that is lost.
     """
     out = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),
         "startingOffsets": start,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger:
         out["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -68,15 +69,26 @@ def lagged(df: DataFrame, hour: str, days: int = 2) -> DataFrame:
 def log_dir_scan(spark: SparkSession, base: str, hour: str, days: int = 2, fmt: str = "text") -> DataFrame:
     """Read ``storage_day=/log_hour=`` folders of one log hour.
 
-    The filter is on partition columns of one base path, so only matching folders are
-    read and a missing day gives no rows.
+    Only the few folders that can hold records of the hour are looked at; a missing day
+    gives no rows.
     """
     value = [T.StructField("value", T.StringType())]
     parts = [T.StructField(p, T.StringType()) for p in ("storage_day", "log_hour")]
-    reader = spark.read.format(fmt)
-    if fmt == "text":
-        reader = reader.schema(T.StructType(value + parts))
-    return lagged(reader.load(base), hour, days)
+    schema = T.StructType(value + parts) if fmt == "text" else None
+    there = hour_folders(spark, base, hour, days)
+    if not there:
+        return spark.createDataFrame([], schema or T.StructType(parts))
+    reader = spark.read.format(fmt).option("basePath", base)
+    if schema:
+        reader = reader.schema(schema)
+    return lagged(reader.load(there), hour, days)
+
+
+def hour_folders(spark: SparkSession, base: str, hour: str, days: int = 2) -> list[str]:
+    """Folders of one log hour that exist, of the ``days + 1`` that may."""
+    wanted = [f"{base}/storage_day={day}/log_hour={hour}" for day in lag_days(hour, days)]
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    return [w for w in wanted if path(w).getFileSystem(conf).exists(path(w))]
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:

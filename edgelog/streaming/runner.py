@@ -16,34 +16,40 @@ from pyspark.sql.streaming.query import StreamingQuery
 from edgelog import layouts as L
 from edgelog.functions.times import DEFAULT_TZ
 from edgelog.operators import archive, band, clean, filters, parse, rank, route
-from edgelog.session import shared_dir
-from edgelog.sinks.writers import routed_upsert, write_archive
+from edgelog.sinks.writers import CURRENT_WRITER, found, raw_lines_archive, read_band, routed_upsert, stream_id, write_archive, write_event_store
 
 Handler = Callable[[DataFrame, int], None]
 _BROKER = ["partition", "offset"]
 
 
 def run_stream(
-    df: DataFrame, handler: Handler, checkpoint: str | None = None, interval: str | None = None,
-    name: str | None = None,
+    df: DataFrame, handler: Handler, checkpoint: str, interval: str | None = None, name: str | None = None,
+    writer: str | None = None,
 ) -> StreamingQuery:
     """Start a stream. Without ``interval`` it works off what is there and stops.
 
-    ``stop()`` on the returned query ends it between batches.
+    ``stop()`` on the returned query ends it between batches. What the stream writes is
+    marked with ``writer``, by default the id its checkpoint keeps, so streams on one table
+    do not touch each other's rows. After the loss of a checkpoint a replay from the start
+    replaces the old rows if it is given the old writer and cuts the input as before.
     """
-    writer = df.writeStream.foreachBatch(_skip_empty(handler))
+    out = df.writeStream.foreachBatch(_skip_empty(handler, writer))
     if name:
-        writer = writer.queryName(name)
-    where = checkpoint or f"{shared_dir(df.sparkSession)}/{name or 'stream'}"
-    writer = writer.option("checkpointLocation", where)
+        out = out.queryName(name)
+    out = out.option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return out.trigger(**trigger).start()
 
 
-def _skip_empty(handler: Handler) -> Handler:
+def _skip_empty(handler: Handler, writer: str | None = None) -> Handler:
     def run(df: DataFrame, batch: int) -> None:
-        if not df.isEmpty():
+        if df.isEmpty():
+            return
+        before = CURRENT_WRITER.set(writer)
+        try:
             handler(df, batch)
+        finally:
+            CURRENT_WRITER.reset(before)
 
     return run
 
@@ -62,6 +68,23 @@ def fan_out(*handlers: Handler) -> Handler:
     return run
 
 
+def batch_time(df: DataFrame, base: str, batch: int) -> int:
+    """The "now" of a batch: it stays the same when the batch runs again.
+
+    The newest broker time where the source has one; else the clock at the first run,
+    kept next to the tables.
+    """
+    spark = df.sparkSession
+    if "timestamp" in df.columns and dict(df.dtypes)["timestamp"] == "timestamp":
+        newest = df.agg(F.max(F.unix_timestamp("timestamp"))).first()[0]
+        if newest is not None:
+            return newest
+    path = f"{base}/clock/{stream_id(spark)}/{batch}"
+    if not found(spark, f"{path}/_SUCCESS"):
+        spark.range(1).select(F.unix_timestamp(F.current_timestamp()).alias("now")).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("now bigint").parquet(path).first()[0]
+
+
 def _broker(df: DataFrame) -> list[str]:
     return _BROKER if all(c in df.columns for c in _BROKER) else []
 
@@ -122,15 +145,16 @@ def band_handler(
 
     def run(df: DataFrame, batch: int) -> None:
         parsed = parse.parse_flagged(df, layout, value=value, keep=_broker(df))
+        now = batch_time(df, base, batch) if as_of is None else as_of
 
         def rows(good: DataFrame, tags: tuple[str, str]) -> None:
             tag, _ = tags
             one = band.band(good, keys, 60)
             out = []
             for frame, prefix in ((one, L.INDEX_BAND_1M), (band.reband(one, keys, 300), L.INDEX_BAND_5M)):
-                routed = route.route_band(frame, prefix, index_type, as_of, tz)
+                routed = route.route_band(frame, prefix, index_type, now, tz)
                 out.append(route.with_doc_id(routed, F.lit(tag)))
-            routed_upsert(out[0].unionByName(out[1]), f"{base}/band", batch)
+            routed_upsert(out[0].unionByName(out[1]), f"{base}/band", batch, part=["index_name", "index_type"])
             if kind == "jx":
                 host = route.route_host(band.host_status(good), tz)
                 routed_upsert(route.with_doc_id(host, F.lit(tag)), f"{base}/host", batch)
@@ -141,14 +165,19 @@ def band_handler(
     return run
 
 
-def detail_handler(base: str, kind: str = "fusion", value: str = "value", tz: str = DEFAULT_TZ) -> Handler:
-    """Detail records: parse, keep policy for our own nodes, clean, id, route, write."""
+def detail_handler(
+    base: str, kind: str = "fusion", value: str = "value", tz: str = DEFAULT_TZ, keep_domain: str | None = None,
+) -> Handler:
+    """Detail records: parse, keep policy for our own nodes, clean, id, route, write.
+
+    ``keep_domain`` is text of domains whose successes are kept on any layer.
+    """
     layout = {"fusion": "fusion_detail39", "jx": "jx_detail45"}[kind]
 
     def run(df: DataFrame, batch: int) -> None:
         parsed = parse.parse_flagged(df, layout, value=value)
         if kind == "jx":
-            parsed = filters.keep_policy(parsed)
+            parsed = filters.keep_policy(parsed, domain_substr=keep_domain)
         routed = route.route_detail(route.with_row_id(clean.clean_detail_flagged(parsed), kind), kind, tz)
         reason = F.coalesce("_reason", F.when(F.col("index_name").isNull(), F.lit("no index")))
         flagged = routed.withColumn("_reason", reason)
@@ -187,27 +216,78 @@ def archive_handler(
     """Raw vendor lines to the archive."""
 
     def run(df: DataFrame, batch: int) -> None:
-        flagged = archive.archive_lines_flagged(
-            df, value=value, salts=salts, as_of=as_of, hot_days=hot_days, tz=tz
-        )
+        now = batch_time(df, base, batch) if as_of is None else as_of
+        flagged = archive.archive_lines_flagged(df, value=value, salts=salts, as_of=now, hot_days=hot_days, tz=tz)
         _store_whole(flagged, "archive", base, batch, lambda good: write_archive(good, f"{base}/archive", batch))
 
     return run
 
 
 def sql_handler(
-    view: str, query: str, sink: Callable[[DataFrame, int], None], value: str = "value", parse_lines: bool = True
+    view: str, query: str, sink: Callable[[DataFrame, int], None], quarantine: str | None = None, value: str = "value",
+    parse_lines: bool = True,
 ) -> Handler:
-    """User SQL over each batch: vendor lines become the view, the result goes to ``sink``."""
+    """User SQL over each batch: vendor lines become the view, the result goes to ``sink``.
+
+    Lines that cannot be parsed go to the table ``quarantine``, which parsing needs.
+    """
+    if parse_lines and not quarantine:
+        raise ValueError("parsing needs a quarantine table for the lines it rejects")
 
     def run(df: DataFrame, batch: int) -> None:
-        rows = parse.parse_sql42(df, value=value)[0] if parse_lines else df
-        rows.createOrReplaceTempView(view)
-        sink(rows.sparkSession.sql(query), batch)
+        def write(rows: DataFrame) -> None:
+            rows.createOrReplaceTempView(view)
+            sink(rows.sparkSession.sql(query), batch)
+
+        if not parse_lines:
+            write(df)
+            return
+        flagged = parse.parse_sql42_flagged(df, value=value).persist()
+        try:
+            good, bad = parse.part_flagged(flagged, "fusion_sql42")
+            write(good)
+            routed_upsert(bad, quarantine, batch, part=["layout"])
+        finally:
+            flagged.unpersist()
 
     return run
 
 
+def firm_day_handler(
+    base: str, value: str = "value", tz: str = DEFAULT_TZ, keep: bool = False, keep_domain: str | None = None, index: str = "details-",
+) -> Handler:
+    """The 42 typed columns of vendor lines in an index per firm and file day.
+
+    With ``keep`` the retention policy applies first.
+    """
+
+    def run(df: DataFrame, batch: int) -> None:
+        flagged = parse.parse_sql42_flagged(df, value=value)
+        if keep:
+            flagged = filters.keep_policy(flagged, domain_substr=keep_domain)
+        name = F.concat(F.lit(index), "lowfirmname", F.lit("-"), "filetime")
+        routed = flagged.withColumn("index_name", name)
+        _store_whole(routed, "fusion_sql42", base, batch, lambda good: routed_upsert(good, f"{base}/detail", batch))
+
+    return run
+
+
+def event_handler(base: str, value: str = "value", tz: str = DEFAULT_TZ) -> Handler:
+    """Bytes per event time and domain of each batch, as partial rows by day."""
+
+    def run(df: DataFrame, batch: int) -> None:
+        good, bad = parse.druid_events(df, value=value)
+        write_event_store(band.domain_rollup(good), f"{base}/events", batch, tz=tz)
+        routed_upsert(bad, f"{base}/quarantine", batch, part=["layout"])
+
+    return run
+
+
+def raw_handler(base: str, value: str = "value") -> Handler:
+    """Unparsed lines to the archive."""
+    return lambda df, batch: raw_lines_archive(df, f"{base}/raw", batch, value)
+
+
 def watermarked_band(df: DataFrame, keys: list[str], delay: str, width: str = "60 seconds") -> DataFrame:
     """Event-time buckets that close ``delay`` after the newest record; later ones are lost.
 
@@ -224,12 +304,18 @@ def watermarked_band(df: DataFrame, keys: list[str], delay: str, width: str = "6
     )
 
 
-def watermarked_rollup(events: DataFrame, delay: str = "2280 minutes") -> DataFrame:
-    """Bytes per event time and domain over a stream of events."""
+def watermarked_rollup(events: DataFrame, delay: str) -> DataFrame:
+    """Bytes per event time and domain over a stream of events.
+
+    Events more than ``delay`` behind the newest one are lost; the query's progress counts
+    them as ``numRowsDroppedByWatermark``. :func:`event_handler` loses none.
+    """
     return band.domain_rollup(events.withWatermark("time_local", delay))
 
 
-def band_view(spark: SparkSession, base: str, prefix: str, keys: list[str]) -> DataFrame:
-    """Whole buckets of a band stream: the sum of its partial rows."""
-    rows = spark.read.parquet(f"{base}/band").where(F.col("index_name").startswith(prefix))
-    return band.band_totals(rows, keys)
+def band_view(spark: SparkSession, base: str, prefix: str, keys: list[str], index_type: str | None = None) -> DataFrame:
+    """Whole buckets of a band table: the sum of the partial rows that count.
+
+    A table that holds both kinds of log needs ``index_type``.
+    """
+    return band.band_totals(read_band(spark, base, prefix, index_type), keys)

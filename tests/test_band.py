@@ -110,7 +110,7 @@ def test_events_round_trip(spark):
 
 
 def test_filters(spark, log):
-    kept = filters.keep_policy(log)
+    kept = filters.keep_policy(log, domain_substr="wasu")
     gone = log.join(kept, "line_num", "left_anti").collect()
     assert gone and all(r.http_status in ("200", "206", "304") and r.layer == "2" and "wasu" not in r.domain for r in gone)
     routed = spark.createDataFrame([("a_b",), ("axb",)], "index_name string")

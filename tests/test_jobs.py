@@ -34,7 +34,7 @@ def test_newest_row_of_an_id_wins(spark, tmp_path):
 
 
 def test_rebuild_replaces_what_streams_wrote(spark, log, sf, tmp_path):
-    base, coverage = str(tmp_path / "out"), str(tmp_path / "coverage")
+    base = str(tmp_path / "out")
     good, _ = clean.clean_band(log)
     as_of = 1704067200
 
@@ -46,21 +46,18 @@ def test_rebuild_replaces_what_streams_wrote(spark, log, sf, tmp_path):
             route.route_band(f, p, L.TYPE_BAND_FUSION, as_of)
             for f, p in ((one, L.INDEX_BAND_1M), (band.reband(one, L.FUSION_KEYS), L.INDEX_BAND_5M))
         ]
-        writers.routed_upsert(frames[0].unionByName(frames[1]), f"{base}/band", batch)
+        writers.routed_upsert(frames[0].unionByName(frames[1]), f"{base}/band", batch, part=["index_name", "index_type"])
 
     # The streams lost every record of one firm and doubled the others.
     partial(good.where("firm_name <> 'WS'"), 0)
     partial(good.where("firm_name <> 'WS'"), 1)
     archive = fixture.archive(spark, sf)
     first, last = "202401010800", "202401010900"
-    jobs.run_rebuild(spark, archive, base, coverage, first, last, firm="WS", run=5, as_of=as_of)
-    jobs.run_rebuild(spark, archive, base, coverage, "202401010900", "202401011000", run=6, as_of=as_of)
-    jobs.run_rebuild(spark, archive, base, coverage, "202401010900", "202401011000", run=7, as_of=as_of)
-    table = writers.effective_band(
-        spark.read.parquet(f"{base}/band"), spark.read.schema(writers.COVERAGE_SCHEMA).parquet(coverage)
-    )
+    jobs.run_rebuild(spark, archive, base, first, last, firm="WS", run=5, as_of=as_of)
+    jobs.run_rebuild(spark, archive, base, "202401010900", "202401011000", run=6, as_of=as_of)
+    jobs.run_rebuild(spark, archive, base, "202401010900", "202401011000", run=7, as_of=as_of)
     for prefix, width in ((L.INDEX_BAND_1M, 60), (L.INDEX_BAND_5M, 300)):
-        got = band.band_totals(table.where(F.col("index_name").startswith(prefix)), L.FUSION_KEYS)
+        got = runner.band_view(spark, base, prefix, L.FUSION_KEYS)
         direct = band.band(good, L.FUSION_KEYS, width).select(*got.columns)
         hour = F.col("from_time") - F.col("from_time") % 3600
         eight, nine = 1704067200, 1704070800
@@ -77,7 +74,7 @@ def test_rebuild_replaces_what_streams_wrote(spark, log, sf, tmp_path):
 
 def test_rebuild_needs_whole_buckets(spark, sf, tmp_path):
     with pytest.raises(ValueError):
-        jobs.run_rebuild(spark, fixture.archive(spark, sf), str(tmp_path), str(tmp_path / "c"), "202401010800", "202401010903")
+        jobs.run_rebuild(spark, fixture.archive(spark, sf), str(tmp_path), "202401010800", "202401010903")
 
 
 def test_unpublished_rebuild_is_not_seen(spark, tmp_path):

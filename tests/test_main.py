@@ -30,8 +30,8 @@ def test_archive_then_check_and_rank(spark, log, lines_dir, tmp_path):
     assert {r.is_normal for r in report.collect()} <= {"Y", "N"}
     assert report.agg(F.sum("archive_req_count")).first()[0] == log.count()
     assert report.agg(F.sum("band_req_count")).first()[0] == log.where("body_bytes_sent <> '-'").count()
-    main(["rebuild-band", archive, out, f"{out}/coverage", *day], spark)
-    check = ["check-band", archive, out, f"{out}/check2", *day, "--coverage", f"{out}/coverage"]
+    main(["rebuild-band", archive, out, *day], spark)
+    check = ["check-band", archive, out, f"{out}/check2", *day]
     main(check, spark)
     assert rows(spark.read.parquet(f"{out}/check2")) == rows(report)
     main(["rank-archive", archive, f"{out}/top", *day, "--top", "5"], spark)

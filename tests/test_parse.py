@@ -80,7 +80,7 @@ def test_sql42_widths_and_quarantine(spark):
     plain, wide = S.join(base), S.join(base + ["skip", "raw", "err"])
     nodate = S.join(base[:35] + ["nodate", "7"])
     badsize = S.join(base[:12] + ["-"] + base[13:])
-    good, bad = parse.parse_sql42(lines(spark, plain, wide, nodate, badsize, "x"))
+    good, bad = parse.parse_sql42(lines(spark, plain, wide, nodate, badsize, "x"), suffix_month="201705")
     assert good.columns == L.SQL42_SCHEMA.names
     assert {(r.filetime, r.lowfirmname, r.rawdata, r.except_desc) for r in good.collect()} == {
         ("20170501-1", "ws", "", ""), ("20170501-1", "ws", "raw", "err"),

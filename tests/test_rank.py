@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgelog.operators import rank
-from edgelog.operators.joins import broadcast_if_small
 from tests.helpers import plan, rows
 
 
@@ -90,13 +89,3 @@ def test_tops_are_cut_before_the_shuffle(urls):
         text = plan(df)
         assert "WindowGroupLimit" in text and "Partial" in text
     assert plan(rank.top_union(urls, 100)).count("Partial") >= 4
-
-
-def test_broadcast_needs_a_checked_size(spark):
-    small, large = spark.range(5), spark.range(50)
-    assert "broadcast" in plan(small.join(broadcast_if_small(small, 10), "id")).lower()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" not in plan(small.join(broadcast_if_small(large, 10), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

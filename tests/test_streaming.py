@@ -26,8 +26,8 @@ def _source(spark, path, schema="value string"):
     return readers.source(spark, "parquet", schema, path, maxFilesPerTrigger=1)
 
 
-def _run(stream, handler, checkpoint):
-    query = runner.run_stream(stream, handler, checkpoint=checkpoint)
+def _run(stream, handler, checkpoint, writer="replayed"):
+    query = runner.run_stream(stream, handler, checkpoint=checkpoint, writer=writer)
     query.awaitTermination()
     assert query.exception() is None
     return query
@@ -145,7 +145,7 @@ def test_sql_stream(spark, log, vendor, tmp_path):
     def sink(df, batch):
         df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(out)
 
-    _run(_source(spark, vendor), runner.sql_handler("batch", query, sink), str(tmp_path / "c"))
+    _run(_source(spark, vendor), runner.sql_handler("batch", query, sink, str(tmp_path / "bad")), str(tmp_path / "c"))
     got = spark.read.parquet(out).groupBy("lowfirmname", "filetime").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
     want = log.where("body_bytes_sent <> '-'").groupBy(F.lower("firm_name").alias("lowfirmname"), F.lit("20240101").alias("filetime")).agg(
         F.count("*").alias("n"), F.sum(F.col("body_bytes_sent").cast("bigint")).alias("size")
@@ -196,7 +196,7 @@ def test_rollup_stream_with_late_window(spark, log, vendor, tmp_path):
     events, _ = parse.druid_events(_source(spark, vendor))
     out = str(tmp_path / "out")
     query = (
-        runner.watermarked_rollup(events).writeStream.outputMode("update")
+        runner.watermarked_rollup(events, "2280 minutes").writeStream.outputMode("update")
         .foreachBatch(lambda df, b: writers.write_event_store(df, out, b))
         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     )
@@ -213,5 +213,5 @@ def test_kafka_options():
     got = readers.kafka_options("b:1", ["x", "y"], "earliest", 500)
     assert got == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "x,y", "startingOffsets": "earliest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500",
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "500",
     }
