@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -940,9 +940,9 @@ def _(spark, sf):
     return userlog.sorted_lines(out, ["domain", "time_unix", "line_num"])
 
 
-@query("sample_rows")
+@query("sample_rows", fx.with_log("SELECT * FROM log ORDER BY line_num LIMIT 100"))
 def _(spark, sf):
-    return fx.log(spark, sf).limit(100)
+    return fx.log(spark, sf).orderBy("line_num").limit(100)
 
 
 @query("archive_union_late", fx.with_log("SELECT * FROM a WHERE table_suffix IN ('20240101', '202401')", a=fx.archive_sql()))
@@ -1109,10 +1109,17 @@ def _predicted(model, points):
     return model.transform(points).select("vec_id", "label", "prediction")
 
 
-@query("als_top")
+@query(
+    "als_top",
+    "SELECT CAST(user_id AS INT) AS user, 3 AS n, true AS ordered FROM events WHERE user_id IN (1, 2, 3, 5, 8) GROUP BY user_id",
+)
 def _(spark, sf):
+    """The items of a few named users; what is stated is that each gets three, best first."""
     ratings = _ratings(spark, sf).groupBy("user", "item").agg(F.avg("rating").alias("rating"))
-    return recommend.als_top(ratings, ratings.select("user").distinct())
+    named = ratings.select("user").where(F.col("user").isin(1, 2, 3, 5, 8)).distinct()
+    top = recommend.als_top(ratings, named, n=3)
+    scores = F.collect_list("score")
+    return top.groupBy("user").agg(F.count(F.lit(1)).cast("int").alias("n"), (scores == F.reverse(F.array_sort(scores))).alias("ordered"))
 
 
 @query(
@@ -1161,18 +1168,40 @@ def _(spark, sf):
     )
 
 
-@query("logistic_regression")
+def _by_margin(model, points):
+    """Every point is predicted, and by the sign of its margin."""
+    margin = vector_to_array("rawPrediction")[1]
+    return model.transform(points).select(
+        "vec_id", "label", (F.col("prediction") == F.when(margin > 0, 1.0).otherwise(0.0)).alias("by_margin")
+    )
+
+
+_BY_MARGIN = "SELECT vec_id, CAST(label % 2 AS DOUBLE) AS label, true AS by_margin FROM embeddings"
+
+
+@query("logistic_regression", _BY_MARGIN)
 def _(spark, sf):
     points = _points(spark, sf)
-    train, test = recommend.split_points(points)
-    return _predicted(recommend.logistic_regression(train), test)
+    train, _ = recommend.split_points(points)
+    return _by_margin(recommend.logistic_regression(train), points)
 
 
-@query("random_split")
+@query(
+    "random_split",
+    "SELECT count(*) AS total, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS twice, true AS both FROM lineitem",
+)
 def _(spark, sf):
-    parts = recommend.split_points(_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
-    tagged = [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
-    return tagged[0].unionByName(tagged[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    """The parts hold every row of the table once."""
+    whole = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    parts = recommend.split_points(whole)
+    tagged = parts[0].withColumn("part", F.lit(1)).unionByName(parts[1].withColumn("part", F.lit(2)))
+    counted = whole.withColumn("part", F.lit(0)).unionByName(tagged).groupBy("l_orderkey", "l_linenumber").agg(
+        F.count_if(F.col("part") == 0).alias("in_whole"), F.count_if(F.col("part") > 0).alias("in_parts"), F.max("part").alias("last"), F.min(F.when(F.col("part") > 0, F.col("part"))).alias("first"),
+    )
+    return counted.agg(
+        F.sum("in_parts").alias("total"), F.count_if(F.col("in_parts") < F.col("in_whole")).alias("missing"),
+        F.count_if(F.col("in_parts") > F.col("in_whole")).alias("twice"), ((F.min("first") == 1) & (F.max("last") == 2)).alias("both"),
+    )
 
 
 @query(
@@ -1188,10 +1217,10 @@ def _(spark, sf):
     return recommend.accuracy(pairs)
 
 
-@query("linear_svc")
+@query("linear_svc", _BY_MARGIN)
 def _(spark, sf):
     points = _points(spark, sf)
-    return _predicted(recommend.linear_svc(points), points)
+    return _by_margin(recommend.linear_svc(points), points)
 
 
 # ---- batch jobs --------------------------------------------------------------------
