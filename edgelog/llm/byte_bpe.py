@@ -31,8 +31,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Entries of a generation of encoded matches, and of the tables of the machine; bytes of
 #: a batch that are worked on at once.
 MAX_MATCHES = 120_000
-MAX_ARCS = 400_000
-PART_BYTES = 8 << 20
+MAX_ARCS = 250_000
+PART_BYTES = 4 << 20
 #: Characters that are split at once; longer texts are cut where no match can cross.
 SEGMENT = 1 << 20
 ROOT = 0
@@ -290,28 +290,34 @@ def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, dro
     return df.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None, drop: tuple[str, ...] = (),
+) -> DataFrame:
     """``docs`` with the token ids of each whole text in column ``ids`` (array of int).
 
     Null and empty texts have no ids. Rows, repeated ones too, and other columns stay as
     they are; a column already named ``ids`` is replaced. Special tokens are never made:
-    their strings are ordinary text. ``path`` must exist on every executor.
+    their strings are ordinary text. ``path`` must exist on every executor. With ``decoded``
+    the ids are decoded again, to bytes in that column; columns in ``drop`` go.
     """
+    new: dict[str, T.DataType] = {ids: T.ArrayType(T.IntegerType())} | ({decoded: T.BinaryType()} if decoded else {})
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         encoder = _own(Encoder, path, pattern)
         rows = [encoder.encode(t) if t else np.zeros(0, np.int32) for t in batch.column(text).to_pylist()]
         ends = np.cumsum([0, *map(len, rows)])
         flat = pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]))
-        return {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
+        made = {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
+        if decoded:
+            decoder = _own(Decoder, path)
+            made[decoded] = pa.array([decoder.decode(row)[0] for row in rows], pa.binary())
+        return made
 
-    return _with_columns(docs, {ids: T.ArrayType(T.IntegerType())}, work)
+    return _with_columns(docs, new, work, drop)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", valid: str = "valid_utf8", keep: bool = False) -> DataFrame:
-    """``df`` with the bytes of ``ids`` in ``out`` and whether they are UTF-8 in ``valid``.
-
-    Column ``ids`` goes unless ``keep`` is set.
+def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", valid: str = "valid_utf8") -> DataFrame:
+    """``df`` with the bytes of ``ids`` in ``out`` and whether they are UTF-8 in ``valid``; ``ids`` goes.
 
     Null ids decode to no bytes. An id outside the vocabulary is an error.
     """
@@ -327,13 +333,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", val
         made = [decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return {out: pa.array([b for b, _ in made], pa.binary()), valid: pa.array([v for _, v in made], pa.bool_())}
 
-    return _with_columns(df, {out: T.BinaryType(), valid: T.BooleanType()}, work, () if keep else (ids,))
+    return _with_columns(df, {out: T.BinaryType(), valid: T.BooleanType()}, work, (ids,))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: number of tokens and digests of its ids and of the bytes they decode to."""
-    coded = encode(docs.select("doc_id", "text"), path, pattern).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids",
+    coded = encode(docs.select("doc_id", "text"), path, pattern, decoded="decoded", drop=("text",))
+    told = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return decode(coded, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

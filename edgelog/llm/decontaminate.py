@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from edgelog.llm import shared
 
 #: Text bytes of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20
 
 MATCH = T.StructType(
     [
