@@ -214,11 +214,14 @@ def transactions(records: DataFrame) -> DataFrame:
 
 def resolved(captured: DataFrame) -> DataFrame:
     """``transactions`` with ``source``: the stored response of each capture, its own or the one a revisit names."""
-    stored = captured.filter("response.kind = 'response'").groupBy("id").agg(F.first("response").alias("source"))
-    wanted = F.when(F.col("response.kind") == "revisit", F.col("response.refers_to"))
-    left = captured.withColumn("wanted", wanted)
-    found = left.join(stored.withColumnRenamed("id", "wanted"), "wanted", "left").drop("wanted")
-    return found.withColumn("source", F.when(F.col("response.kind") == "revisit", F.col("source")).otherwise(F.col("response")))
+    revisits = captured.filter("response.kind = 'revisit'").withColumn("wanted", F.col("response.refers_to"))
+    asked = revisits.select("wanted").distinct()
+    own = captured.filter("response.kind = 'response'")
+    named = own.join(asked, F.col("id") == F.col("wanted"), "left_semi").groupBy("id").agg(F.first("response").alias("source"))
+    # written, so that the join's sides are plain shuffles and a response with many revisits can be split
+    named = shared.stored(named.withColumnRenamed("id", "wanted"), "named")
+    found = revisits.join(named, "wanted", "left").drop("wanted")
+    return found.unionByName(own.withColumn("source", F.col("response")))
 
 
 def report(pages: DataFrame) -> DataFrame:
