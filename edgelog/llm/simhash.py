@@ -238,8 +238,11 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     Rows without an id stay only where no row of their component has one, all of them.
     Of rows that share the naming id, each stays.
     """
-    kept = components_of(docs, text).filter("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # the ids that go are fewer than those that stay, so texts are seldom shuffled for them
+    gone = components_of(docs, text).groupBy("doc_id").agg(F.bool_or(names).alias("stays")).filter("not stays").select("doc_id")
+    gone = shared.stored(gone, "gone")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
 
 
 def report(docs: DataFrame) -> DataFrame:
