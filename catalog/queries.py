@@ -436,7 +436,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return route.route_detail(fx.log(spark, sf), "fusion").select("line_num", "index_name", "index_type")
+    return route.route_detail(fx.log(spark, sf), "fusion", prefix="nginx-zss-").select("line_num", "index_name", "index_type")
 
 
 # A moment at which part of the log is more than 30 days old.

@@ -109,7 +109,7 @@ USER_LOG_COLUMNS = [
 ]
 
 # Index names and document types.
-INDEX_FUSION_DETAIL = "nginx-zss-"
+INDEX_FUSION_DETAIL = "vendor-"
 INDEX_JX_DETAIL = "nginx-"
 INDEX_BAND_1M = "statsdata_m_"
 INDEX_BAND_5M = "statsdata_5m_"

@@ -25,17 +25,20 @@ def with_row_id(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("id", row_id)
 
 
-def route_detail(df: DataFrame, kind: str, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Add ``index_name`` and ``index_type``; a vendor file name without a day has neither."""
+def route_detail(df: DataFrame, kind: str, tz: str = DEFAULT_TZ, prefix: str | None = None) -> DataFrame:
+    """Add ``index_name`` and ``index_type``; a vendor file name without a day has neither.
+
+    ``prefix`` starts the index name in place of the one the kind has by default.
+    """
     firm = F.lower(text_or_zero("firm_name"))
     if kind == "jx":
-        name = F.concat(F.lit(L.INDEX_JX_DETAIL), firm, F.lit("-"), fmt_epoch("time_unix", "yyyy.MM", tz))
+        name = F.concat(F.lit(prefix or L.INDEX_JX_DETAIL), firm, F.lit("-"), fmt_epoch("time_unix", "yyyy.MM", tz))
     elif kind == "fusion":
         parts = F.split(F.regexp_replace("file_name", "_+$", ""), "_")
         stamp = F.try_element_at(parts, F.lit(3))
         name = F.when(
             (F.size(parts) > 3) & (F.length(stamp) > 8),
-            F.concat(F.lit(L.INDEX_FUSION_DETAIL), firm, F.lit("-"), F.substring(stamp, 1, 8)),
+            F.concat(F.lit(prefix or L.INDEX_FUSION_DETAIL), firm, F.lit("-"), F.substring(stamp, 1, 8)),
         )
     else:
         raise ValueError(f"unknown kind {kind!r}")

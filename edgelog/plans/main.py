@@ -40,7 +40,7 @@ def _handler(a: argparse.Namespace) -> runner.Handler:
     if a.job == "band-stream":
         return runner.band_handler(a.out, a.kind, tz=a.tz)
     if a.job == "detail-stream":
-        return runner.detail_handler(a.out, a.kind, tz=a.tz, keep_domain=a.keep_domain)
+        return runner.detail_handler(a.out, a.kind, tz=a.tz, keep_domain=a.keep_domain, index=a.index)
     if a.job == "firm-day-stream":
         return runner.firm_day_handler(a.out, tz=a.tz, keep=a.keep, keep_domain=a.keep_domain)
     if a.job == "event-stream":
@@ -87,6 +87,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--view", default="logs")
         p.add_argument("--sql")
         p.add_argument("--keep", action="store_true", help="apply the retention policy")
+        p.add_argument("--index", help="what the names of detail indices start with")
         p.add_argument("--keep-domain", help="text of domains whose successes are kept on any layer")
         p.add_argument("--allow-data-loss", action="store_true", help="go on where the broker no longer has saved offsets")
 
@@ -120,6 +121,12 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument(name)
     p.add_argument("--kind", default="fusion", choices=["fusion", "jx"])
 
+    p = jobs_.add_parser("snapshot", help="the newest row of each key, as a table of its own")
+    for name in ("base", "target"):
+        p.add_argument(name)
+    p.add_argument("--part", default="index_name", help="folder columns, parted by commas")
+    p.add_argument("--keys", default="id", help="columns of the key, parted by commas")
+
     p = jobs_.add_parser("rank-archive")
     for name in ("archive", "out", "from_min", "to_min"):
         p.add_argument(name)
@@ -160,6 +167,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.rank_sql_files(spark, a.path, a.out, a.top, a.metric)
     elif a.job == "compact-band":
         writers.compact_band(spark, a.base, a.target, {"fusion": L.FUSION_KEYS, "jx": L.JX_KEYS}[a.kind])
+    elif a.job == "snapshot":
+        writers.snapshot(spark, a.base, a.target, a.keys.split(","), a.part.split(","))
     elif a.job == "rank-archive":
         top = jobs.rank_archive(
             _archive(spark, a.archive), a.from_min, a.to_min, a.kind, a.top, quarantine=f"{a.out}-quarantine"

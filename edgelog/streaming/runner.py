@@ -167,10 +167,12 @@ def band_handler(
 
 def detail_handler(
     base: str, kind: str = "fusion", value: str = "value", tz: str = DEFAULT_TZ, keep_domain: str | None = None,
+    index: str | None = None,
 ) -> Handler:
     """Detail records: parse, keep policy for our own nodes, clean, id, route, write.
 
-    ``keep_domain`` is text of domains whose successes are kept on any layer.
+    ``keep_domain`` is text of domains whose successes are kept on any layer, ``index`` what
+    the names of indices start with.
     """
     layout = {"fusion": "fusion_detail39", "jx": "jx_detail45"}[kind]
 
@@ -178,7 +180,7 @@ def detail_handler(
         parsed = parse.parse_flagged(df, layout, value=value)
         if kind == "jx":
             parsed = filters.keep_policy(parsed, domain_substr=keep_domain)
-        routed = route.route_detail(route.with_row_id(clean.clean_detail_flagged(parsed), kind), kind, tz)
+        routed = route.route_detail(route.with_row_id(clean.clean_detail_flagged(parsed), kind), kind, tz, index)
         reason = F.coalesce("_reason", F.when(F.col("index_name").isNull(), F.lit("no index")))
         flagged = routed.withColumn("_reason", reason)
         _store_whole(flagged, layout, base, batch, lambda good: routed_upsert(good, f"{base}/detail", batch))

@@ -48,6 +48,17 @@ def test_compaction_bounds_folders_and_keeps_totals(spark, log, vendor_text, tmp
     assert folders(base) == 6 and folders(target) == 2
 
 
+def test_snapshot_command_keeps_the_newest_rows(spark, tmp_path):
+    base, target = str(tmp_path / "t"), str(tmp_path / "s")
+    frame = lambda *r: spark.createDataFrame(list(r), "id string, v int, index_name string")
+    writers.routed_upsert(frame(("a", 1, "007"), ("b", 1, "007")), base, 0, writer="w")
+    writers.routed_upsert(frame(("a", 2, "007")), base, 1, writer="w")
+    writers.routed_upsert(frame(("c", 9, "1")), base, 0, writer="other")
+    assert {r.index_name for r in writers.read_routed(spark, base).collect()} == {"007", "1"}
+    main(["snapshot", base, target], spark)
+    assert rows(spark.read.parquet(target), ["id", "v"]) == [("a", 2), ("b", 1), ("c", 9)]
+
+
 def test_range_reads_cut_rows_and_coverage(spark, sf, tmp_path):
     base, stored = str(tmp_path / "out"), fixture.archive(spark, sf)
     jobs.run_rebuild(spark, stored, base, "202401010800", "202401011200")

@@ -36,7 +36,7 @@ def test_archive_then_check_and_rank(spark, log, lines_dir, tmp_path):
     assert rows(spark.read.parquet(f"{out}/check2")) == rows(report)
     main(["rank-archive", archive, f"{out}/top", *day, "--top", "5"], spark)
     assert rows(spark.read.parquet(f"{out}/top")) == rows(rank.top_union(rank.url_hour(log), 5))
-    main(["export-logs", f"{out}/detail", f"{out}/pkg", "1704067200", "1704081600", "--indices", "nginx-zss-ws-*"], spark)
+    main(["export-logs", f"{out}/detail", f"{out}/pkg", "1704067200", "1704081600", "--indices", "vendor-ws-*"], spark)
     assert spark.read.text(f"{out}/pkg").count() == log.where("firm_name = 'WS' AND body_bytes_sent <> '-'").count()
 
 

@@ -137,7 +137,7 @@ def test_route_edges(spark):
         "file_name string, firm_name string",
     )
     names = [r.index_name for r in route.route_detail(df, "fusion").collect()]
-    assert names == ["nginx-zss-ws-20240101", None, None, None]
+    assert names == ["vendor-ws-20240101", None, None, None]
     # A rollup is late when it is more than 30 days old, to the second.
     band = spark.createDataFrame([(1000,), (999,)], "from_time bigint")
     routed = route.route_band(band, "p_", "t", as_of=1000 + 2592000)
