@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, html_text, quality, simhash, toxicity, url_filter, warc
+from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, html_text, quality, shared, simhash, toxicity, url_filter, warc
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,8 +22,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        shared.ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @_query

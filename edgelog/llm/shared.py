@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from edgelog.session import shared_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers that share the driver's files import this library from where it lies.
+
+    A cluster whose executors do not see that folder gets the library by ``--py-files``.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    held = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in ``spark.checkpoint.dir``; a local session without one gets its own."""
     base = shared_dir(spark)
