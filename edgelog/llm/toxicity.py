@@ -27,9 +27,11 @@ SAMPLE_BYTES = 10 << 20
 #: Features a model keeps, and documents a feature must be seen in.
 FEATURES = 8192
 MIN_DOCS = 3
-ROUNDS = 250
-RATE = 0.2
-L2 = 2e-4
+ROUNDS = 300
+RATE = 0.1
+L2 = 1e-5
+#: Standard deviations from which a feature starts with a share of its log odds, and that share.
+CLEAR, START = 4.0, 0.5
 #: A sentence is offending, and a document toxic, from this score on.
 THRESHOLD = 0.5
 #: Word beginnings that are features besides the word, in bytes, and the salt of each.
@@ -102,7 +104,12 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
     spread = (toxic - share * seen) / np.sqrt(seen * share * (1 - share))
     usable = np.flatnonzero(seen >= MIN_DOCS)
     chosen = np.sort(usable[np.argsort(-np.abs(spread[usable]), kind="stable")[:FEATURES]])
-    model = Model(features[chosen], np.zeros(len(chosen)), -3.0)
+    # The noisy-or stops teaching once a document is explained, so words that mostly come
+    # together with stronger ones would stay unlearnt: each starts from its own log odds.
+    n1, n0 = labels.sum(), len(labels) - labels.sum()
+    odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((seen - toxic + 0.5) / (n0 + 1))
+    start = np.where(spread >= CLEAR, START * np.maximum(odds, 0), 0.0)
+    model = Model(features[chosen], start[chosen], -8.0)
     sentence, slot = _known(bags, model)
     n_sentences, n_docs = len(bags.row), len(texts)
     step1, step2 = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
