@@ -29,7 +29,7 @@ FEATURES = 8192
 MIN_DOCS = 3
 ROUNDS = 300
 RATE = 0.1
-L2 = 1e-5
+DECAY = 1e-3
 #: Standard deviations from which a feature starts with a share of its log odds, and that share.
 CLEAR, START = 4.0, 0.5
 #: A sentence is offending, and a document toxic, from this score on.
@@ -121,11 +121,12 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
         clean = np.exp(log_clean)
         pull = np.where(labels == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * even
         g = pull[bags.row] * p
-        grad = np.append(np.bincount(slot, g[sentence], len(chosen)) + L2 * model.weights, g.sum())
+        grad = np.append(np.bincount(slot, g[sentence], len(chosen)), g.sum())
         step1 = 0.9 * step1 + 0.1 * grad
         step2 = 0.99 * step2 + 0.01 * grad**2
-        move = RATE * (step1 / (1 - 0.9**t)) / (np.sqrt(step2 / (1 - 0.99**t)) + 1e-8)
-        model.weights -= move[:-1]
+        # the offset keeps weights still whose documents are all explained
+        move = RATE * (step1 / (1 - 0.9**t)) / (np.sqrt(step2 / (1 - 0.99**t)) + 1e-5)
+        model.weights = (1 - RATE * DECAY) * model.weights - move[:-1]
         model.bias -= move[-1]
     return model
 
