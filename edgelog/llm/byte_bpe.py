@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from edgelog.llm import shared
+
 #: Entries of a generation of encoded matches, and of the tables of the machine; bytes of
 #: a batch that are worked on at once.
 MAX_MATCHES = 120_000
@@ -287,6 +289,7 @@ def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, dro
             columns = [made[f.name] if f.name in new else batch.column(f.name).cast(f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
+    shared.bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -328,6 +328,7 @@ def with_matches(
     kept = [c for c in docs.columns if c != out]
     df = docs.select(*(F.col(f"`{c}`") for c in kept), F.lit(None).cast(FOUND).alias(out))
     schema = to_arrow_schema(df.schema)
+    shared.bound_batches(docs.sparkSession)
     some = False
     for block in blocks(benchmark, n, block_bytes):
         df = df.mapInArrow(_stage(block, text, out, schema), df.schema)

@@ -254,6 +254,7 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
                 columns = [rows.column(f.name).cast(f.type) for f in list(arrow)[: len(kept)]]
                 yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, [score, *single])], schema=arrow)
 
+    shared.bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

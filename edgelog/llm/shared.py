@@ -25,6 +25,18 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
 
 
+#: Bytes of one Arrow batch on its way to Python; a batch holds a row at least.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Cap the bytes of Arrow batches of this session; a smaller bound of the user's stays."""
+    held = spark.conf.get(_BATCH_KEY).rstrip("bB")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in ``spark.checkpoint.dir``; a local session without one gets its own."""
     base = shared_dir(spark)

@@ -214,6 +214,7 @@ def with_score(docs: DataFrame, model: Model, score: str = "score", offending: s
                 columns.append(pa.array(found, arrow.field(offending).type))
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
+    shared.bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 
