@@ -134,14 +134,11 @@ def _by_text(docs: DataFrame, collided: DataFrame, digest: Callable[[Column], Co
 
 def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """Rows of ``docs`` that stay, columns unchanged."""
-    dropped = groups(docs, digest).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.hash("digest").alias("gone_digest"))
-    # ids and short digests only: the hash tells apart rows that share an id
-    gone = shared.stored(dropped.distinct(), "dropped")
-    names = set(docs.columns)
-    normal, mark = (next(n for n in (base + "_" * k for k in range(len(names) + 1)) if n not in names) for base in ("normal", "digest"))
-    marked = normalised(docs, "text", normal).withColumn(mark, F.hash(digest(F.col(normal))))
-    same = marked["doc_id"].eqNullSafe(gone["gone_id"]) & (marked[mark] == gone["gone_digest"])
-    return marked.join(gone, same, "left_anti").select(*(marked[f"`{c}`"] for c in docs.columns))
+    gone = groups(docs, digest).filter(~F.col("kept")).select("doc_id", "digest")
+    normal = shared.fresh(docs, "normal")
+    mark = shared.fresh(docs, "digest")
+    marked = normalised(docs, "text", normal).withColumn(mark, digest(F.col(normal))).drop(normal)
+    return shared.without(marked, mark, gone)
 
 
 def report(docs: DataFrame) -> DataFrame:

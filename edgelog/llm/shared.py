@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edgelog.session import shared_dir
 
@@ -51,6 +51,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that starts with ``base`` and that ``df`` does not have."""
+    names = set(df.columns)
+    return next(n for n in (base + "_" * k for k in range(len(names) + 1)) if n not in names)
+
+
+def without(marked: DataFrame, mark: str, gone: DataFrame) -> DataFrame:
+    """Rows of ``marked``, without its column ``mark``, whose id and mark are no row of ``gone``.
+
+    ``gone`` has the id and the mark, in this order. Ids compare null-safe, marks in full: a
+    short hash of both only finds the rows in doubt, so that the broadcast stays small.
+    """
+    gone = stored(gone.toDF("gone_id", "gone_mark").distinct(), "gone")
+    short = stored(gone.select(F.xxhash64("gone_id", "gone_mark").alias("short")).distinct(), "short")
+    doubt = F.xxhash64(marked["doc_id"], marked[mark]) == short["short"]
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col(mark) == F.col("gone_mark"))
+    found = marked.join(short, doubt, "left_semi").join(gone, same, "left_anti")
+    return marked.join(short, doubt, "left_anti").unionAll(found).drop(mark)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts behind each other, eight spare bytes at the end, and row offsets."""
     if len(texts) == 0:

@@ -47,6 +47,18 @@ def test_kept_rows_and_columns(spark):
     assert sorted((r.doc_id for r in left.collect())) == [1, 3, 5, 6, 6, 7, 8]
 
 
+def test_short_hashes_alone_drop_nothing(spark, monkeypatch):
+    """Null-id texts whose 32-bit marks equal those of dropped rows stay."""
+    from pyspark.sql import functions as real
+
+    rows = [(1, "a b"), (None, "a b"), (None, "only here"), (2, "c"), (2, "d"), (0, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("hash", "xxhash64"):
+        monkeypatch.setattr(real, name, (lambda kind: lambda *_: real.lit(1).cast(kind))("int" if name == "hash" else "long"))
+    left = X.deduplicate(docs).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(1, "a b"), (None, "only here"), (2, "c"), (0, "d")], key=repr)
+
+
 def test_state_goes_on_over_runs(spark):
     base = shared.scratch(spark, "state")
     rows = lambda pairs: spark.createDataFrame(pairs, "doc_id long, text string")
