@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgelog.llm import shared
+from edgelog.llm import exact_dedup, shared
 from edgelog.llm.components import components
 
 RADIUS = 2
@@ -88,13 +88,17 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if hashes:
             made.append(majority(np.concatenate(hashes), np.array([*map(len, hashes)])))
         fp = np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+        kept = [k for k in range(batch.num_columns) if k != 1]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(fp)], names=[*(batch.schema.names[k] for k in kept), "fp"])
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id`` and fingerprint ``fp`` (64 bits as a signed long) of each whole text."""
+def fingerprints(docs: DataFrame, text: str = "text", mark: Column | None = None) -> DataFrame:
+    """``doc_id``, the ``mark`` if given, and fingerprint ``fp`` (64 bits as a signed long) of each whole text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(_fingerprints, f"doc_id {kind}, fp long")
+    columns, schema = ["doc_id", F.col(text).alias("text")], f"doc_id {kind}, fp long"
+    if mark is not None:
+        columns, schema = [*columns, mark.alias("mark")], f"doc_id {kind}, mark string, fp long"
+    return docs.select(*columns).mapInArrow(_fingerprints, schema)
 
 
 def _masks(bits: int, blocks: int, kept: int) -> list[int]:
@@ -223,26 +227,30 @@ def components_of(docs: DataFrame, text: str = "text") -> DataFrame:
     back as often as they are there. Rows without an id belong to their component but
     never name it; a component of such rows only has a null id. An empty table gives none.
     """
-    held = shared.stored(fingerprints(docs, text), "fingerprints")
+    return _components(docs, text).select("doc_id", "fp", "component_id")
+
+
+def _components(docs: DataFrame, text: str, mark: Column | None = None) -> DataFrame:
+    held = shared.stored(fingerprints(docs, text, mark), "fingerprints")
     nodes = held.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(groups(nodes).mapInArrow(_link, "u long, v long"))
     placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     known = shared.stored(placed.select("fp", "root").join(named, "root").select("fp", "component_id"), "components")
-    return held.join(known, "fp").select("doc_id", "fp", "component_id")
+    return held.join(known, "fp")
 
 
 def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose id names their component: one of each group; columns unchanged.
 
     Rows without an id stay only where no row of their component has one, all of them.
-    Of rows that share the naming id, each stays.
+    Of rows that share the naming id, each in the component stays.
     """
-    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    # the ids that go are fewer than those that stay, so texts are seldom shuffled for them
-    gone = components_of(docs, text).groupBy("doc_id").agg(F.bool_or(names).alias("stays")).filter("not stays").select("doc_id")
-    gone = shared.stored(gone, "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    # a row that goes is told by its id and the digest of its text, as ids may be null or repeated
+    digest = exact_dedup.sha256(F.coalesce(F.col(text), F.lit("")))
+    goes = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    mark = shared.fresh(docs, "mark")
+    return shared.without(docs.withColumn(mark, digest), mark, _components(docs, text, digest).filter(goes).select("doc_id", "mark"))
 
 
 def report(docs: DataFrame) -> DataFrame:

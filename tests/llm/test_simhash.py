@@ -51,6 +51,12 @@ def test_awkward_rows(spark):
     assert S.components_of(none(spark)).count() == 0
 
 
+def test_null_and_repeated_ids_in_mixed_components(spark):
+    rows = [(1, "a b c d"), (None, "a b c d"), (None, "e f g h"), (7, "i j k l"), (2, "i j k l"), (7, "m n o p"), (None, None), (9, "")]
+    left = S.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(1, "a b c d"), (None, "e f g h"), (2, "i j k l"), (7, "m n o p"), (9, "")], key=repr)
+
+
 def chains(seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     out = list(rng.integers(0, 2**63, 50, dtype=np.int64))
