@@ -198,26 +198,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int =
     """Learn from documents and ``labels`` (``doc_id``, ``quality`` 0 or 1).
 
     The sample has at most ``rows`` labelled rows as they come by a hash of the id, and as
-    many without a label, until ``size`` bytes of text. Labels of other values and null
-    ids are left out. With one label only, every document gets its score; with none, 0.5.
+    many without a label, in ``size`` bytes of text in all, as :func:`shared.sample` deals
+    them to both labels and the rest. Labels of other values and null ids are left out. With one label only, every document gets its score; with none, 0.5.
     """
     usable = labels.filter("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     told = usable.orderBy(*order).limit(2 * rows)
     free = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti")
     free = free.orderBy(*order).limit(2 * rows).select("doc_id", F.lit(-1).alias("quality"))
-    sample = docs.select("doc_id", "text", "source", "lang").join(F.broadcast(told.union(free)), "doc_id")
+    sample = shared.sample(docs, told.union(free), "quality", ["text", "source", "lang"], size)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
         seen: set[str] = set()
-        held = 0
         for batch in batches:
             for text, source, lang, quality in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-                if held < size and (text or "") not in seen:
+                if (text or "") not in seen:
                     seen.add(text or "")
                     kept.append((text or "", source, lang, quality))
-                    held += len(text or "")
         model = _fit(pa.array([k[0] for k in kept], pa.string()), [k[1] for k in kept], [k[2] for k in kept], np.array([k[3] for k in kept], np.int64))
         flat = np.concatenate([[model.a, model.b], *([v.a, v.b] for v in model.views), *(v.weights for v in model.views)])
         yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary())], names=["m"])

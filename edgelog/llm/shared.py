@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from edgelog.session import shared_dir
 
@@ -71,6 +71,45 @@ def without(marked: DataFrame, mark: str, gone: DataFrame) -> DataFrame:
     return marked.join(short, doubt, "left_anti").unionAll(found).drop(mark)
 
 
+#: A text of a sample may take this part of its bytes at most.
+LARGEST_PART = 40
+
+
+def shares(totals: list[int], size: int) -> list[int]:
+    """``size`` dealt out evenly; what one does not need goes to those that do."""
+    out, left = [0] * len(totals), size
+    for done, k in enumerate(sorted(range(len(totals)), key=totals.__getitem__)):
+        out[k] = min(totals[k], left // (len(totals) - done))
+        left -= out[k]
+    return out
+
+
+def sample(docs: DataFrame, told: DataFrame, label: str, columns: list[str], size: int) -> DataFrame:
+    """``doc_id``, the ``columns`` of ``docs`` (the text first) and ``label``, in ``size`` bytes of text in all.
+
+    ``told`` has the chosen ids with their label and must be small. Each label has its own
+    share of the bytes, so one never crowds out another. An id gives one text, equal texts
+    count once. A text above ``size / LARGEST_PART`` is left out, but where a label has no
+    other its shortest stays. The bound holds before texts meet in one task.
+    """
+    text = F.coalesce(F.col(columns[0]), F.lit(""))
+    key = F.struct((F.octet_length(text) > size // LARGEST_PART).alias("long"), F.xxhash64(text).alias("mark"), F.octet_length(text).cast("long").alias("bytes"))
+    own = docs.select("doc_id", key.alias("key")).join(F.broadcast(told), "doc_id").groupBy("doc_id", label).agg(F.min("key").alias("key"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    once = own.groupBy("key").agg(F.min_by(F.struct("doc_id", label), F.struct(*order)).alias("row")).select("key.*", "row.*")
+    by = Window.partitionBy(label).orderBy("long", F.when(F.col("long"), F.col("bytes")), *order)
+    line = once.select("*", F.row_number().over(by).alias("place"), F.sum("bytes").over(by).alias("held"))
+    line = stored(line.filter("place = 1 or not long"), "sample")
+    totals = line.groupBy(label).agg(F.max("held").alias("bytes")).orderBy(label).collect()
+    fits = F.lit(False)
+    for row, share in zip(totals, shares([r["bytes"] for r in totals], size)):
+        fits |= (F.col(label) == row[label]) & (F.col("held") <= share)
+    kept = line.filter(fits | (F.col("place") == 1)).select(F.col("doc_id").alias("id"), F.col("mark").alias("kept_mark"), label)
+    rows = docs.join(F.broadcast(kept), (docs["doc_id"] == F.col("id")) & (F.xxhash64(text) == F.col("kept_mark")))
+    # copies of a row that share its id meet before the shuffle
+    return rows.groupBy("doc_id", label).agg(F.min(F.struct(*columns)).alias("row")).select("doc_id", "row.*", label)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts behind each other, eight spare bytes at the end, and row offsets."""
     if len(texts) == 0:

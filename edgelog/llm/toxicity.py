@@ -144,24 +144,21 @@ def _known(bags: Sentences, model: Model) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
     """Learn from the labelled documents of ``docs``: ``labels`` has ``doc_id`` and ``toxic`` 0 or 1.
 
-    At most ``rows`` of each label take part, chosen by a hash of the id, and texts only
-    until ``size`` bytes; equal texts count once. Other labels, and null ids, are left
-    out. Without one of the two labels every document gets the score of the other one,
+    At most ``rows`` of each label take part, chosen by a hash of the id, and ``size`` bytes
+    of text in all, as :func:`shared.sample` deals them to the labels; equal texts count
+    once. Other labels, and null ids, are left out. Without one of the two labels every document gets the score of the other one,
     without any label 0.
     """
     usable = labels.filter("doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     some = [usable.filter(F.col("toxic") == y).orderBy(*order).limit(rows) for y in (0, 1)]
-    sample = docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id").select("doc_id", "text", "toxic")
+    sample = shared.sample(docs, some[0].union(some[1]), "toxic", ["text"], size)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[str, int] = {}
-        held = 0
         for batch in batches:
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if held < size and (text or "") not in texts:
-                    texts[text or ""] = toxic
-                    held += len(text or "")
+                texts.setdefault(text or "", toxic)
         model = _fit(list(texts), np.array(list(texts.values()), np.int64))
         parts = [model.features.tobytes(), model.weights.astype(np.float64).tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([*parts, model.bias], [pa.binary(), pa.binary(), pa.float64()])], names=["f", "w", "b"])

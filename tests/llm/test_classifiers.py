@@ -3,8 +3,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from edgelog.llm import quality as Q, toxicity as X
+from edgelog.llm import quality as Q, shared, toxicity as X
 
 from .helpers import awkward, none
 
@@ -79,6 +80,26 @@ def test_quality_of_the_held_out_fold(large):
     assert np.mean([r.predicted == r.quality for r in held]) > 0.93
 
 
+@pytest.mark.parametrize("module, label", [(X, "toxic"), (Q, "quality")])
+def test_one_huge_text_does_not_crowd_out_a_label(spark, module, label):
+    rows = [(i, f"{'vile bad' if i % 2 else 'kind good'} words number {i}", "s", "l") for i in range(80)]
+    first = spark.range(80).orderBy(F.xxhash64("id")).first().id
+    rows[first] = (first, "huge words " * 20000, "s", "l")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], f"doc_id long, {label} int")
+    model = module.fit(docs, labels, size=100_000)
+    probe = spark.createDataFrame([(1, "vile bad words", "s", "l"), (2, "kind good words", "s", "l")], docs.schema)
+    scored = (X.with_score if module is X else Q.with_scores)(probe, model).collect()
+    score = {r.doc_id: r.score for r in scored}
+    assert score[1] > 0.5 > score[2]
+    told = labels.withColumnRenamed(label, "y")
+    chosen = shared.sample(docs, told, "y", ["text"], 600).collect()
+    assert {r.y for r in chosen} == {0, 1} and sum(len(r.text) for r in chosen) <= 600 and first not in {r.doc_id for r in chosen}
+    only = shared.sample(docs.filter(f"doc_id = {first} or doc_id % 2 <> {first % 2}"), told, "y", ["text"], 600).collect()
+    assert {r.y for r in only} == {0, 1}
+    assert shared.shares([5, 100, 100], 65) == [5, 30, 30]
+
+
 def test_views_teach_each_other():
     """Only the other view can tell the unlabelled rows of this one."""
     n = 400
