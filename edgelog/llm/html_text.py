@@ -4,9 +4,10 @@ The standard library's parser sends events; they are cut into lines, one per blo
 text, each with the tags met on its way. Lines inside navigation, forms, adverts and the
 like (``DROPPED``, ``BOILERPLATE``) are dropped. The ratio of text outside links to tags, as a
 logarithm, is smoothed along the page by a Gaussian, and two clusters of the smoothed ratios part content
-lines from the rest. The region that is returned is the articles that hold content lines,
-or, where a page marks none, the smallest element that holds nearly all of their text;
-all lines of a region stay, short ones too.
+lines from the rest. Content lines choose the region: the smallest element that holds all
+of those outside articles, without its lists of links. Articles stay whole, each of them.
+All lines of a region stay, short ones too; where the region of lines outside holds
+articles, only the content lines themselves stay beside them.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Standard deviation and reach of the smoothing, in lines.
 SIGMA, REACH = 1.0, 2
-#: Share of the content lines' text a region must hold.
-COVER = 0.8
 #: Characters the parser is fed at once.
 FEED = 1 << 16
 
@@ -206,38 +205,42 @@ def main_text(page: str | None) -> str:
     lines = Lines().run(page or "")
     if not lines:
         return ""
-    values = smoothed([log1p((len(x.text) - x.linked) / max(1, x.tags)) for x in lines])
+    ratios = [log1p((len(x.text) - x.linked) / max(1, x.tags)) for x in lines]
+    values = smoothed(ratios)
     cut = threshold(values)
-    content = [x for x, v in zip(lines, values) if v >= cut]
-    articles = {id(x.element.article) for x in lines if x.element.article}
-    if articles:
-        chosen = {id(x.element.article) for x in content if x.element.article} or articles
-        kept = [x for x in lines if x.element.article and id(x.element.article) in chosen]
-    else:
-        kept = _region(lines, content)
-    return "\n\n".join(x.text for x in kept)
+    articles = any(x.element.article for x in lines)
+    # beside an article a line must reach the cut by itself, not by what its neighbours lend it
+    content = [x for x, v, own in zip(lines, values, ratios) if v >= cut and not (articles and (x.element.article or own < cut))]
+    kept = {id(x) for x in lines if x.element.article}
+    if content:
+        kept |= {id(x) for x in _region(lines, content)}
+    return "\n\n".join(x.text for x in lines if id(x) in kept)
 
 
 def _region(lines: list[Line], content: list[Line]) -> list[Line]:
-    """Lines of the smallest element that holds nearly all content text, but for lists of links."""
-    weight: dict[int, float] = {}
-    depth: dict[int, int] = {}
+    """Lines of the smallest element that holds all of ``content``, but for lists of links without any."""
     for line in lines:
-        chain, at = [], line.element
+        at = line.element
         while at is not None:
-            chain.append(at)
+            line.parents.append(at)
             at = at.parent
-        line.parents = chain
-        for d, element in enumerate(reversed(chain)):
-            depth[id(element)] = d
-    for line in content:
-        for element in line.parents:
-            weight[id(element)] = weight.get(id(element), 0) + len(line.text)
-    total = sum(len(line.text) for line in content)
-    wide = {id(e) for line in content for e in line.parents if e.tag in REGIONS}
-    best = max((key for key in wide if weight[key] >= COVER * total), key=lambda key: depth[key])
-    inside = [x for x in lines if any(id(e) == best for e in x.parents)]
-    return [x for x in inside if 2 * x.linked <= len(x.text)] or inside
+    common = {id(e) for e in content[0].parents}
+    for line in content[1:]:
+        common &= {id(e) for e in line.parents}
+    best = next(e for e in content[0].parents if id(e) in common and e.tag in REGIONS)
+    while best.tag == "section" and best.parent:
+        best = best.parent  # a section is a part of what surrounds it
+    inside = [x for x in lines if any(e is best for e in x.parents)]
+    if any(x.element.article for x in inside):
+        return content
+    branch = {id(x): next((e for e, up in zip(x.parents, x.parents[1:]) if up is best), best) for x in inside}
+    holds = {id(branch[id(x)]) for x in content}
+    size: dict[int, list[int]] = {}
+    for x in inside:
+        total = size.setdefault(id(branch[id(x)]), [0, 0])
+        total[0] += len(x.text)
+        total[1] += x.linked
+    return [x for x in inside if (b := branch[id(x)]) is best or id(b) in holds or b.tag not in REGIONS or 2 * size[id(b)][1] <= size[id(b)][0]]
 
 
 def with_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

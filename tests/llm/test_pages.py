@@ -129,6 +129,32 @@ def test_awkward_pages():
     assert H.main_text("<article><p>a</p><article class='comment'><p>no</p></article></article>") == "a"
 
 
+LONG = f"<p>{TEXT * 4}</p>"
+ITEM = "<li>An item of the list with some words of its own to read</li>"
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f"<div id=content><h1>Title</h1>{LONG}<p>Main end.</p></div>" + "<article><h2>Card</h2><p>Teaser</p></article>" * 2, ["Title", TEXT.strip(), "Main end.", "Teaser"]),
+        (f"<article>{LONG}</article><article><p>Brief note</p></article>", [TEXT.strip(), "Brief note"]),
+        (f"<article>{LONG}<p>Short.</p></article><p>Outside. {TEXT * 4}</p>", [TEXT.strip(), "Short.", "Outside."]),
+        (f"<div><section>{LONG * 6}</section><section><h2>Second</h2><p>{TEXT}</p></section></div>", ["Second"]),
+        (f"<div><section>{LONG * 6}</section><section><h2>Second</h2><p>Short end.</p></section></div>", ["Second", "Short end."]),
+        (f"<div><p>{TEXT}</p><ul>{ITEM * 30}</ul></div>", [TEXT.strip(), "An item"]),
+        (f"<div>{LONG}<p><a href=/>A paragraph that is one link</a></p>{LONG}</div>", ["A paragraph that is one link"]),
+    ],
+)
+def test_no_part_of_the_main_text_is_lost(page, wanted):
+    got = H.main_text(f"<html><body>{AROUND}{page}{AFTER}</body></html>")
+    assert all(part in got for part in wanted)
+    assert not any(part in got for part in ("Home", "cookies", "See also", "Nice one", "Site"))
+
+
+def test_lists_of_links_beside_the_text_go():
+    assert "Other page" not in H.main_text(f"<body><div>{LONG}{LONG}</div><div><ul>{'<li><a href=/>Other page</a></li>' * 9}</ul></div></body>")
+
+
 def test_text_of_whole_pages_keeps_columns(spark, sf, pages):
     got = H.with_text(pages)
     assert got.columns == ["page_id", "url", "host", "text"] and got.count() == len(ROWS)
