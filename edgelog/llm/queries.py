@@ -8,7 +8,9 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelog.llm import byte_bpe, chat, decontaminate, exact_dedup, html_text, quality, shared, simhash, toxicity, url_filter, warc
+from edgelog.llm import (
+    byte_bpe, chat, collocations, decontaminate, exact_dedup, filter_audit, html_text, quality, shared, simhash, toxicity, url_filter, warc,
+)
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -150,3 +152,92 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = min(doc_id) OVER same AS kept, sha256(normal) AS text_sha256
 FROM spaced WINDOW same AS (PARTITION BY normal)
 """
+
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS p FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (VALUES (1), (2), (3), (4), (5)) t(k) WHERE len(w) >= k)
+), totals AS (
+  SELECT lang, count(*) AS n FROM grams WHERE len(p) = 1 GROUP BY lang
+), counts AS (
+  SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, l.f AS l, r.f AS r, t.n,
+    CAST(1000 AS HUGEINT) * c.f * t.n // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM counts WHERE len(p) > 1) c
+  JOIN counts l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, k)
+  JOIN counts r ON r.lang = c.lang AND r.p = list_slice(c.p, k + 1, len(c.p))
+  JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, list_slice(p, i, i + k - 1) AS p, max(f) AS most FROM (
+    SELECT lang, p, f, k, unnest(range(1, len(p) - k + 2)) AS i FROM counts, (VALUES (2), (3), (4)) t(k) WHERE len(p) > k)
+  GROUP BY ALL
+), told AS (
+  SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.p = b.p
+  WHERE i.most IS NULL OR 100 * i.most < 100 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score FROM told
+QUALIFY rank <= 2000
+"""
+
+
+@_query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM texts
+), said AS (
+  SELECT doc_id, max(coalesce(CAST(quality = 1 AS INT), 0)) AS good, max(coalesce(CAST(toxic = 1 AS INT), 0)) AS toxic FROM labels GROUP BY doc_id
+), masked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CAST(len(words) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS INT) AS mask
+  FROM split LEFT JOIN said USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM masked GROUP BY part, mask
+), letters(f, name) AS (
+  VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D'), (4, 'E')
+), orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o, a.name || b.name || c.name || d.name || e.name AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, step, o[step] AS f, coalesce(list_sum([1 << x FOR x IN o[1:step - 1]]), 0)::INT AS before
+  FROM orders, range(1, 6) s(step)
+), told AS (
+  SELECT part, filter_order, step, f,
+    sum(docs) FILTER (mask & (before | (1 << f)) = 0) AS kept,
+    sum(docs) FILTER (mask & before = 0 AND mask & (1 << f) <> 0) AS removed,
+    sum(docs) FILTER (mask & before <> 0 AND mask & (1 << f) <> 0) AS redundant,
+    sum(docs) FILTER (mask = 1 << f) AS unique_fails,
+    sum(good) FILTER (mask & before = 0 AND mask & (1 << f) <> 0) AS good_lost,
+    sum(toxic) FILTER (mask & before = 0 AND mask & (1 << f) <> 0) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM told
+"""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -135,6 +137,8 @@ def slices(texts: pa.Array, size: int = 2 << 20) -> list[pa.Array]:
     return [texts.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
 _BYTE = np.arange(256, dtype=np.uint8)
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 #: A-Z to a-z, every other byte as it is.
@@ -178,3 +182,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     x = x * _MIX
     x ^= x >> np.uint64(32)
     return x * _MIX
+
+
+def spaced(body: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """``body`` in pieces of about ``size`` bytes, each cut where ASCII white space begins."""
+    at = 0
+    while len(body) - at > size:
+        space = _SPACE.search(body, at + size)
+        if space is None:
+            break
+        yield body[at : space.start()]
+        at = space.start()
+    yield body[at:] if at else body
