@@ -80,7 +80,10 @@ def masks(docs: DataFrame) -> DataFrame:
 
 
 def labelled(masked: DataFrame, labels: DataFrame) -> DataFrame:
-    """``masked`` with ``good`` (quality 1) and ``toxic`` (toxic 1): 1 where any label row of the id says so, else 0."""
+    """``masked`` with ``good`` (quality 1) and ``toxic`` (toxic 1): 1 where any label row of the id says so, else 0.
+
+    A null id has no label.
+    """
     said = [F.max(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0))).alias(n) for c, n in (("quality", "good"), ("toxic", "toxic"))]
     told = shared.stored(labels.groupBy(F.col("doc_id").alias("label_id")).agg(*said).filter("label_id is not null and good + toxic > 0"), "told")
     full = masked.join(told, F.col("doc_id") == F.col("label_id"), "left")

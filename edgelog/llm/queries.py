@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from edgelog.llm import (
-    byte_bpe, chat, collocations, decontaminate, exact_dedup, filter_audit, html_text, quality, shared, simhash, toxicity, url_filter, warc,
+    byte_bpe, chat, collocations, decontaminate, exact_dedup, filter_audit, html_text, quality, shared, simhash, token_files, toxicity, url_filter,
+    warc,
 )
 
 #: Where the public vocabulary lies; the operators take any path.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -195,6 +197,11 @@ QUALIFY rank <= 2000
 """
 
 
+@_query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.report(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end=1)
+
+
 @_query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
