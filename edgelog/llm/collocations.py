@@ -5,11 +5,12 @@ padded where its piece of text ends. Only these longest windows are counted; a p
 fewer words is a prefix of them, so Spark's ROLLUP over the window's columns sums its
 occurrences. No shorter n-gram is ever exploded.
 
-What makes that fit: a phrase is no more frequent than its words and its prefixes. A word
-below the threshold pads the window like an end of text (a bitmap of fixed size tells them;
-where it is full, a window is longer than it needs to be, never shorter). Tasks meet windows
-by their first two words, sum them along the sorted prefixes and cut each after its last
-frequent prefix, and only what is left enters the ROLLUP.
+What makes that fit: a phrase is no more frequent than its words, its pairs of neighbours and
+its prefixes. A word below the threshold pads the window like an end of text, and so does what
+follows a pair whose counter, shared by the pairs of one hash, is below it. Two bitmaps of
+bounded size tell them; where one is full, a window is longer than it needs to be, never
+shorter. Tasks meet windows by their first two words, sum them along the sorted prefixes and
+cut each after its last frequent prefix, and only what is left enters the ROLLUP.
 
 **Hot groups.** Where the leading words of a window are all hot (each at least
 ``1 / HOT`` of all words, so at most ``HOT`` exist), the words behind them take part in the
@@ -23,11 +24,12 @@ checked for two with one hash; there the count starts again with another seed.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from edgelog.llm import shared
@@ -37,7 +39,12 @@ SIZE = 5
 HOT = 256
 #: Bits of the bitmap of frequent words, 8 MB at every size of the input.
 BITS = 26
-#: Distinct words a task counts before it sends them; words in a chunk of windows.
+#: Counters of pairs of words: one for ``WORDS_PER_COUNTER`` words of the corpus, ``2 ** PAIR_BITS`` at
+#: most (a bitmap of 16 MB), in runs of ``2 ** RUN_BITS`` that are summed together.
+WORDS_PER_COUNTER = 8
+PAIR_BITS = 27
+RUN_BITS = 16
+#: Distinct words a task counts before it sends them; words in a chunk of windows or pairs.
 MAX_WORDS = 400_000
 CHUNK = 1_500_000
 #: Groups in which the candidates of a language first meet to be ranked.
@@ -114,16 +121,20 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
     return bits
 
 
-class Windows:
-    """Chunks of running text to counted windows of keys."""
+class Chunks:
+    """Running text as numbered words, in chunks that keep ``lead`` words of the one before."""
 
-    def __init__(self, bitmap: np.ndarray, hot: set[int], seed: int, size: int = SIZE):
-        self.bitmap, self.hot, self.seed, self.size = bitmap, hot, seed, size
+    def __init__(self, bitmap: np.ndarray, seed: int, lead: int):
+        self.bitmap, self.seed, self.lead = bitmap, seed, lead
         self.words: dict[str, dict[bytes, int]] = {}
         self.keys: list[int] = [0]
         self.runs: list[np.ndarray] = []
         self.held = 0
 
+    def made(self, numbers: np.ndarray, count: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """What the first ``count`` places of ``numbers`` give; ``keys`` are the hashes of the numbers."""
+        raise NotImplementedError
+
     def _number(self, lang: str, word: bytes, table: dict[bytes, int]) -> int:
         """A word's number in this chunk; words that are certainly not frequent are 0, as is an end."""
         hashed = key(lang, word, self.seed)
@@ -136,7 +147,7 @@ class Windows:
         return table[word]
 
     def add(self, lang: str, body: bytes) -> Iterator[pa.RecordBatch]:
-        """Take the words of a text; a chunk that is full comes out as a batch."""
+        """Take the words of a text; what a full chunk gives comes out."""
         body = body.translate(_SPLIT).replace(_END, b" \xff ")
         for piece in shared.spaced(body):
             table = self.words.setdefault(lang, {_END: 0})
@@ -155,21 +166,14 @@ class Windows:
         self.runs.append(np.zeros(1, np.int32))
 
     def flush(self, last: bool = True) -> Iterator[pa.RecordBatch]:
-        """Windows of the chunk; its last words begin the next chunk unless it is the ``last``."""
-        lead = self.size - 1
-        numbers = np.concatenate([*self.runs, np.zeros(lead if last else 0, np.int32)])
-        count = len(numbers) - lead
+        """Work off the chunk; its last words begin the next one unless it is the ``last``."""
+        numbers = np.concatenate([*self.runs, np.zeros(self.lead if last else 0, np.int32)])
+        count = len(numbers) - self.lead
         if count <= 0:
             return
         keys = np.array(self.keys, np.int64)
         rest = keys[numbers[count:]]
-        columns = [numbers[:count]]
-        for k in range(1, self.size):
-            columns.append(np.where(columns[-1] == 0, 0, numbers[k : count + k]))
-        starts = columns[0] != 0
-        columns = [c[starts] for c in columns]
-        if starts.any():
-            yield self._counted(columns, keys)
+        yield from self.made(numbers, count, keys)
         # the words carried over get numbers of the next chunk
         self.words, self.keys = {}, [0]
         carried = np.zeros(len(rest), np.int32)
@@ -179,6 +183,69 @@ class Windows:
                 carried[at] = len(self.keys) - 1
         self.runs, self.held = [carried], 0
 
+
+def _counters(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """The counter of each pair of keys."""
+    with np.errstate(over="ignore"):
+        mixed = (first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed ^= mixed >> np.uint64(32)
+        return (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Pairs(Chunks):
+    """Counters of pairs of neighbours, summed per chunk: a run number and a packed run a row."""
+
+    def __init__(self, bitmap: np.ndarray, seed: int, bits: int, least: int):
+        super().__init__(bitmap, seed, 1)
+        self.bits, self.least = bits, least
+
+    def made(self, numbers: np.ndarray, count: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        both = (numbers[:count] != 0) & (numbers[1 : count + 1] != 0)
+        found = _counters(keys[numbers[:count][both]], keys[numbers[1 : count + 1][both]], self.bits)
+        at, n = np.unique(found, return_counts=True)
+        n = np.minimum(n, min(self.least, 65535)).astype("<u2")
+        runs, starts = np.unique(at >> RUN_BITS, return_index=True)
+        packed = []
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
+            packed.append(_pack(at[a:b] & (1 << RUN_BITS) - 1, n[a:b]))
+        if len(runs):
+            yield pa.RecordBatch.from_arrays([pa.array(runs.astype(np.int32)), pa.array(packed, pa.binary())], ["run", "packed"])
+
+
+def _pack(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Places in a run and their counts: steps between places and counts, byte by byte, compressed."""
+    steps = np.diff(at, prepend=0).astype("<u2")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.view(np.uint8).reshape(-1, 2).T.tobytes() for x in (steps, n)))
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    plain = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(2, 2, -1)
+    steps, n = (np.ascontiguousarray(x.T).view("<u2").ravel() for x in plain)
+    return np.cumsum(steps, dtype=np.int64), n.astype(np.int64)
+
+
+class Windows(Chunks):
+    """Counted windows of keys."""
+
+    def __init__(self, bitmap: np.ndarray, pairs: np.ndarray, hot: set[int], seed: int, size: int = SIZE):
+        super().__init__(bitmap, seed, size - 1)
+        self.pairs, self.hot, self.size = pairs, hot, size
+        self.bits = (len(pairs) * 8).bit_length() - 1
+
+    def made(self, numbers: np.ndarray, count: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = _counters(keys[numbers[:-1]], keys[numbers[1:]], self.bits)
+        goes_on = (numbers[1:] != 0) & (self.pairs[at >> 3] >> (at & 7) & 1).astype(bool)
+        columns = [numbers[:count]]
+        for k in range(1, self.size):
+            columns.append(np.where((columns[-1] != 0) & goes_on[k - 1 : count + k - 1], numbers[k : count + k], 0))
+        single = np.bincount(columns[0][columns[1] == 0], minlength=len(keys))
+        single[0] = 0
+        alone = np.flatnonzero(single)
+        longer = columns[1] != 0
+        yield self._rows([alone, *[np.zeros(len(alone), np.int64)] * (self.size - 1)], single[alone], keys)
+        if longer.any():
+            yield self._counted([c[longer] for c in columns], keys)
+
     def _counted(self, columns: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort(columns[::-1])
         columns = [c[order] for c in columns]
@@ -187,15 +254,16 @@ class Windows:
         for c in columns:
             change[1:] |= c[1:] != c[:-1]
         first = np.flatnonzero(change)
-        n = np.diff(np.append(first, len(order)))
-        words = [keys[c[first]] for c in columns]
-        leading, run = np.zeros(len(first), np.int32), np.ones(len(first), bool)
+        return self._rows([c[first] for c in columns], np.diff(np.append(first, len(order))), keys)
+
+    def _rows(self, columns: list[np.ndarray], n: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+        leading, run = np.zeros(len(n), np.int32), np.ones(len(n), bool)
         hot = np.array([k in self.hot for k in self.keys])
         for c in columns:
-            run &= hot[c[first]]
+            run &= hot[c]
             leading += run
         free = np.clip(leading + 1, 2, self.size).astype(np.int32)
-        arrays = [pa.array(w) for w in words] + [pa.array(free), pa.array(n.astype(np.int64))]
+        arrays = [pa.array(keys[c]) for c in columns] + [pa.array(free), pa.array(n.astype(np.int64))]
         return pa.RecordBatch.from_arrays(arrays, [*_columns(self.size), "free", "n"])
 
 
@@ -203,20 +271,57 @@ def _columns(size: int) -> list[str]:
     return [f"w{i}" for i in range(1, size + 1)]
 
 
-def windows(docs: DataFrame, bitmap: np.ndarray, hot: set[int], seed: int, size: int = SIZE) -> DataFrame:
-    """``w1..``, ``n`` and ``free``, the words that make the key of a window; 0 pads it."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-
+def _work(docs: DataFrame, make: Callable[[], Chunks], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Windows(sent.value, hot, seed, size)
+        chunks = make()
         for lang, body in _rows(batches):
-            yield from made.add(lang, body)
-        yield from made.flush()
+            yield from chunks.add(lang, body)
+        yield from chunks.flush()
 
-    schema = ", ".join(f"{c} long" for c in _columns(size)) + ", free int, n long"
     return _slim(docs).mapInArrow(run, schema)
 
 
+def pairs(docs: DataFrame, bitmap: np.ndarray, seed: int, total: int, least: int) -> np.ndarray:
+    """A bit per counter that reaches ``least``: pairs of the others occur less often.
+
+    Runs of counters meet in sorted order and are summed one at a time, so a task holds one
+    run whatever the corpus. The driver gets the bitmap, ``2 ** PAIR_BITS`` bits at most.
+    """
+    bits = min(PAIR_BITS, max(RUN_BITS, (total // WORDS_PER_COUNTER).bit_length()))
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    packed = _work(docs, lambda: Pairs(sent.value, seed, bits, least), "run int, packed binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sums = None, None
+        made = lambda: pa.RecordBatch.from_arrays(
+            [pa.array([held], pa.int32()), pa.array([np.packbits(sums >= min(least, 65535), bitorder="little").tobytes()], pa.binary())], ["run", "bits"]
+        )
+        for batch in batches:
+            for number, row in zip(batch.column("run").to_pylist(), batch.column("packed")):
+                if number != held:
+                    if held is not None:
+                        yield made()
+                    held, sums = number, np.zeros(1 << RUN_BITS, np.int64)
+                at, n = _unpack(row.as_py())
+                sums[at] += n
+        if held is not None:
+            yield made()
+
+    summed = packed.repartition("run").sortWithinPartitions("run").mapInArrow(run, "run int, bits binary")
+    out = np.zeros(1 << bits - 3, np.uint8)
+    for row in shared.stored(summed, "pairs").toLocalIterator():
+        out[row["run"] << RUN_BITS - 3 : row["run"] + 1 << RUN_BITS - 3] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return out
+
+
+def windows(docs: DataFrame, bitmap: np.ndarray, pair_bits: np.ndarray, hot: set[int], seed: int, size: int = SIZE) -> DataFrame:
+    """``w1..``, ``n`` and ``free``, the words that make the key of a window; 0 pads it."""
+    context = docs.sparkSession.sparkContext
+    sent, both = context.broadcast(bitmap), context.broadcast(pair_bits)
+    schema = ", ".join(f"{c} long" for c in _columns(size)) + ", free int, n long"
+    return _work(docs, lambda: Windows(sent.value, both.value, hot, seed, size), schema)
+
+
 def cut(counted: DataFrame, least: int, size: int = SIZE) -> DataFrame:
     """Windows cut after their last prefix that may reach ``least``, summed: ``w1.., n``.
 
@@ -294,7 +399,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, percent: in
     everything = totals.agg(F.sum("n")).first()[0] or 0
     # fewer than HOT + 1 words can each be 1 / HOT of all
     hot = {r["key"] for r in frequent.filter(F.col("n") * HOT >= everything).select("key").collect()}
-    longest = shared.stored(cut(windows(docs, _bitmap(frequent), hot, seed, size), least, size), "windows")
+    bitmap = _bitmap(frequent)
+    counted = windows(docs, bitmap, pairs(docs, bitmap, seed, everything, least), hot, seed, size)
+    longest = shared.stored(cut(counted, least, size), "windows")
     found = shared.stored(phrases(longest, least, size), "phrases")
     lang = frequent.select("key", "lang").join(totals, "lang")
     left = unabsorbed(scored(found, lang), found, percent)
