@@ -5,10 +5,10 @@ padded where its piece of text ends. Only these longest windows are counted; a p
 fewer words is a prefix of them, so Spark's ROLLUP over the window's columns sums its
 occurrences. No shorter n-gram is ever exploded.
 
-What makes that fit: a phrase is no more frequent than its words, its pairs of neighbours and
-its prefixes. A word below the threshold pads the window like an end of text, and so does what
-follows a pair whose counter, shared by the pairs of one hash, is below it. Two bitmaps of
-bounded size tell them; where one is full, a window is longer than it needs to be, never
+What makes that fit: a phrase is no more frequent than its words, its pairs and triples of
+neighbours and its prefixes. A word below the threshold pads the window like an end of text, and
+so does the end of a pair or triple whose counter, shared by all of one hash, is below it.
+Bitmaps of bounded size tell them; where one is full, a window is longer than it needs to be, never
 shorter. Tasks meet windows by their first two words, sum them along the sorted prefixes and
 cut each after its last frequent prefix, and only what is left enters the ROLLUP.
 
@@ -39,14 +39,15 @@ SIZE = 5
 HOT = 256
 #: Bits of the bitmap of frequent words, 8 MB at every size of the input.
 BITS = 26
-#: Counters of pairs of words: one for ``WORDS_PER_COUNTER`` words of the corpus, ``2 ** PAIR_BITS`` at
-#: most (a bitmap of 16 MB), in runs of ``2 ** RUN_BITS`` that are summed together.
+#: Counters of pairs, and of triples: one for ``WORDS_PER_COUNTER`` words of the corpus, ``2 ** COUNTER_BITS``
+#: at most (a bitmap of 8 MB), in runs of ``2 ** RUN_BITS`` that are summed together.
 WORDS_PER_COUNTER = 8
-PAIR_BITS = 27
+COUNTER_BITS = 26
 RUN_BITS = 16
-#: Distinct words a task counts before it sends them; words in a chunk of windows or pairs.
+#: Distinct words a task counts before it sends them; words in a chunk, and in a part of one that is worked on at once.
 MAX_WORDS = 400_000
-CHUNK = 1_500_000
+CHUNK = 3_000_000
+PART = 1 << 18
 #: Groups in which the candidates of a language first meet to be ranked.
 DEAL = 32
 
@@ -184,32 +185,43 @@ class Chunks:
         self.runs, self.held = [carried], 0
 
 
-def _counters(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    """The counter of each pair of keys."""
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        mixed = (first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed ^= mixed >> np.uint64(32)
-        return (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+        mixed = (first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return mixed ^ mixed >> np.uint64(32)
 
 
-class Pairs(Chunks):
-    """Counters of pairs of neighbours, summed per chunk: a run number and a packed run a row."""
+def _counters(words: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The counter of the pair, and of the triple, that begins at each of the keys ``words`` but the last two."""
+    words = words.view(np.uint64)
+    pair = _mixed(words[:-2], words[1:-1])
+    with np.errstate(over="ignore"):
+        return [(m * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64) for m in (pair, _mixed(pair, words[2:]))]
+
+
+class Counters(Chunks):
+    """Counters of pairs and triples of neighbours, summed per chunk: a run number and a packed run a row."""
 
     def __init__(self, bitmap: np.ndarray, seed: int, bits: int, least: int):
-        super().__init__(bitmap, seed, 1)
+        super().__init__(bitmap, seed, 2)
         self.bits, self.least = bits, least
 
     def made(self, numbers: np.ndarray, count: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        both = (numbers[:count] != 0) & (numbers[1 : count + 1] != 0)
-        found = _counters(keys[numbers[:count][both]], keys[numbers[1 : count + 1][both]], self.bits)
-        at, n = np.unique(found, return_counts=True)
-        n = np.minimum(n, min(self.least, 65535)).astype("<u2")
-        runs, starts = np.unique(at >> RUN_BITS, return_index=True)
-        packed = []
-        for a, b in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
-            packed.append(_pack(at[a:b] & (1 << RUN_BITS) - 1, n[a:b]))
-        if len(runs):
-            yield pa.RecordBatch.from_arrays([pa.array(runs.astype(np.int32)), pa.array(packed, pa.binary())], ["run", "packed"])
+        found: tuple[list, list] = ([], [])
+        for at in range(0, count, PART):
+            part = numbers[at : min(at + PART, count) + 2]
+            full = (part[:-2] != 0) & (part[1:-1] != 0)
+            for kind, counter in enumerate(_counters(keys[part], self.bits)):
+                found[kind].append(counter[full if kind == 0 else full & (part[2:] != 0)].astype(np.uint32))
+        for kind, parts in enumerate(found):
+            at, n = np.unique(np.concatenate(parts), return_counts=True)
+            at, n = at.astype(np.int64), np.minimum(n, min(self.least, 65535)).astype("<u2")
+            runs, starts = np.unique(at >> RUN_BITS, return_index=True)
+            ends = np.append(starts[1:], len(at)).tolist()
+            packed = [_pack(at[a:b] & (1 << RUN_BITS) - 1, n[a:b]) for a, b in zip(starts.tolist(), ends)]
+            if len(runs):
+                numbered = runs + (kind << self.bits - RUN_BITS)
+                yield pa.RecordBatch.from_arrays([pa.array(numbered.astype(np.int32)), pa.array(packed, pa.binary())], ["run", "packed"])
 
 
 def _pack(at: np.ndarray, n: np.ndarray) -> bytes:
@@ -225,26 +237,39 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Windows(Chunks):
-    """Counted windows of keys."""
-
-    def __init__(self, bitmap: np.ndarray, pairs: np.ndarray, hot: set[int], seed: int, size: int = SIZE):
-        super().__init__(bitmap, seed, size - 1)
-        self.pairs, self.hot, self.size = pairs, hot, size
-        self.bits = (len(pairs) * 8).bit_length() - 1
+    """Counted windows of keys; ``both`` holds the bitmaps of pairs and of triples, one behind the other."""
+
+    def __init__(self, bitmap: np.ndarray, both: np.ndarray, hot: set[int], seed: int, size: int = SIZE):
+        super().__init__(bitmap, seed, size + 1)
+        self.both, self.hot, self.size = both.reshape(2, -1), hot, size
+        self.bits = (both.size * 4).bit_length() - 1
+
+    def _goes_on(self, numbers: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
+        """Whether the pair, and the triple, that begins at each place may be frequent."""
+        out: list[list[np.ndarray]] = [[], []]
+        for at in range(0, len(numbers) - 2, PART):
+            part = numbers[at : at + PART + 2]
+            full = part[1:-1] != 0
+            for kind, counter in enumerate(_counters(keys[part], self.bits)):
+                full = full & (self.both[kind][counter >> 3] >> (counter & 7) & 1).astype(bool)
+                if kind:
+                    full &= part[2:] != 0
+                out[kind].append(full)
+        return [np.concatenate(parts) for parts in out]
 
     def made(self, numbers: np.ndarray, count: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        at = _counters(keys[numbers[:-1]], keys[numbers[1:]], self.bits)
-        goes_on = (numbers[1:] != 0) & (self.pairs[at >> 3] >> (at & 7) & 1).astype(bool)
-        columns = [numbers[:count]]
-        for k in range(1, self.size):
-            columns.append(np.where((columns[-1] != 0) & goes_on[k - 1 : count + k - 1], numbers[k : count + k], 0))
-        single = np.bincount(columns[0][columns[1] == 0], minlength=len(keys))
+        pair, triple = self._goes_on(numbers, keys)
+        longer = np.flatnonzero((numbers[:count] != 0) & pair[:count])
+        single = np.bincount(numbers[:count], minlength=len(keys)) - np.bincount(numbers[longer], minlength=len(keys))
         single[0] = 0
         alone = np.flatnonzero(single)
-        longer = columns[1] != 0
         yield self._rows([alone, *[np.zeros(len(alone), np.int64)] * (self.size - 1)], single[alone], keys)
-        if longer.any():
-            yield self._counted([c[longer] for c in columns], keys)
+        if len(longer):
+            columns, live = [numbers[longer], numbers[longer + 1]], np.ones(len(longer), bool)
+            for k in range(2, self.size):
+                live = live & pair[longer + k - 1] & triple[longer + k - 2]
+                columns.append(np.where(live, numbers[longer + k], 0))
+            yield self._counted(columns[: self.size], keys)
 
     def _counted(self, columns: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort(columns[::-1])
@@ -281,15 +306,15 @@ def _work(docs: DataFrame, make: Callable[[], Chunks], schema: str) -> DataFrame
     return _slim(docs).mapInArrow(run, schema)
 
 
-def pairs(docs: DataFrame, bitmap: np.ndarray, seed: int, total: int, least: int) -> np.ndarray:
-    """A bit per counter that reaches ``least``: pairs of the others occur less often.
+def counters(docs: DataFrame, bitmap: np.ndarray, seed: int, total: int, least: int) -> np.ndarray:
+    """A bit per counter of pairs, and of triples, that reaches ``least``: those of the others occur less often.
 
     Runs of counters meet in sorted order and are summed one at a time, so a task holds one
-    run whatever the corpus. The driver gets the bitmap, ``2 ** PAIR_BITS`` bits at most.
+    run whatever the corpus. The driver gets the bitmaps, ``2 ** COUNTER_BITS`` bits each at most.
     """
-    bits = min(PAIR_BITS, max(RUN_BITS, (total // WORDS_PER_COUNTER).bit_length()))
+    bits = min(COUNTER_BITS, max(RUN_BITS, (total // WORDS_PER_COUNTER).bit_length()))
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-    packed = _work(docs, lambda: Pairs(sent.value, seed, bits, least), "run int, packed binary")
+    packed = _work(docs, lambda: Counters(sent.value, seed, bits, least), "run int, packed binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sums = None, None
@@ -308,16 +333,16 @@ def pairs(docs: DataFrame, bitmap: np.ndarray, seed: int, total: int, least: int
             yield made()
 
     summed = packed.repartition("run").sortWithinPartitions("run").mapInArrow(run, "run int, bits binary")
-    out = np.zeros(1 << bits - 3, np.uint8)
-    for row in shared.stored(summed, "pairs").toLocalIterator():
+    out = np.zeros(2 << bits - 3, np.uint8)
+    for row in shared.stored(summed, "counters").toLocalIterator():
         out[row["run"] << RUN_BITS - 3 : row["run"] + 1 << RUN_BITS - 3] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out
 
 
-def windows(docs: DataFrame, bitmap: np.ndarray, pair_bits: np.ndarray, hot: set[int], seed: int, size: int = SIZE) -> DataFrame:
+def windows(docs: DataFrame, bitmap: np.ndarray, counter_bits: np.ndarray, hot: set[int], seed: int, size: int = SIZE) -> DataFrame:
     """``w1..``, ``n`` and ``free``, the words that make the key of a window; 0 pads it."""
     context = docs.sparkSession.sparkContext
-    sent, both = context.broadcast(bitmap), context.broadcast(pair_bits)
+    sent, both = context.broadcast(bitmap), context.broadcast(counter_bits)
     schema = ", ".join(f"{c} long" for c in _columns(size)) + ", free int, n long"
     return _work(docs, lambda: Windows(sent.value, both.value, hot, seed, size), schema)
 
@@ -400,7 +425,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, percent: in
     # fewer than HOT + 1 words can each be 1 / HOT of all
     hot = {r["key"] for r in frequent.filter(F.col("n") * HOT >= everything).select("key").collect()}
     bitmap = _bitmap(frequent)
-    counted = windows(docs, bitmap, pairs(docs, bitmap, seed, everything, least), hot, seed, size)
+    counted = windows(docs, bitmap, counters(docs, bitmap, seed, everything, least), hot, seed, size)
     longest = shared.stored(cut(counted, least, size), "windows")
     found = shared.stored(phrases(longest, least, size), "phrases")
     lang = frequent.select("key", "lang").join(totals, "lang")

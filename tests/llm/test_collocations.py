@@ -11,7 +11,7 @@ from edgelog.llm import collocations as C
 
 from .helpers import awkward, none
 
-ALL_WORDS, ALL_PAIRS = np.full(1 << C.BITS - 6, -1), np.full(1 << 13, 255, np.uint8)
+ALL_WORDS, ALL_PAIRS = np.full(1 << C.BITS - 6, -1), np.full(1 << 14, 255, np.uint8)
 COLUMNS = "doc_id long, text string, lang string"
 
 
@@ -83,7 +83,7 @@ def test_small_chunks_and_hot_words_change_nothing(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).coalesce(2)
     want = brute(pairs(docs), 5, 100)
     for chunk, words, hot in ((7, 50, 1), (1000, 10_000, 100_000), (997, 400_000, 20)):
-        for name, value in (("CHUNK", chunk), ("MAX_WORDS", words), ("HOT", hot)):
+        for name, value in (("CHUNK", chunk), ("PART", max(3, chunk // 3)), ("MAX_WORDS", words), ("HOT", hot)):
             monkeypatch.setattr(C, name, value)
         if chunk > 7:
             assert got(docs, least=5, top=100) == want
@@ -131,17 +131,19 @@ def test_a_hot_word_is_spread(spark):
     assert [r.free for r in rows] == [3]
 
 
-def test_pairs_below_the_threshold_are_cut_and_no_others(spark, sf):
+def test_pairs_and_triples_below_the_threshold_are_cut_and_no_others(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    bits = C.pairs(docs, ALL_WORDS, 0, 80_000, 30)
-    counts = Counter()
-    for text, lang in pairs(docs):
-        for piece in re.split("[.,;:!?\n-\r]", (text or "").encode().lower().decode()):
-            words = [w for w in re.split("[ \t]+", piece) if w]
-            counts.update((lang, *p) for p in zip(words, words[1:]))
-    told = {p: C._counters(*(np.array([C.key(p[0], w.encode(), 0)]) for w in p[1:]), 16)[0] for p in counts}
-    passes = {p for p, at in told.items() if bits[at >> 3] >> (at & 7) & 1}
-    assert {p for p, n in counts.items() if n >= 30} <= passes and len(passes) < 0.3 * len(counts)
+    bits = C.counters(docs, ALL_WORDS, 0, 80_000, 30).reshape(2, -1)
+    for size in (2, 3):
+        counts = Counter()
+        for text, lang in pairs(docs):
+            for piece in re.split("[.,;:!?\n-\r]", (text or "").encode().lower().decode()):
+                words = [w for w in re.split("[ \t]+", piece) if w]
+                counts.update((lang, *words[i : i + size]) for i in range(len(words) - size + 1))
+        keys = {p: np.array([*(C.key(p[0], w.encode(), 0) for w in p[1:]), 0][:3]) for p in counts}
+        told = {p: C._counters(k, 16)[size - 2][0] for p, k in keys.items()}
+        passes = {p for p, at in told.items() if bits[size - 2][at >> 3] >> (at & 7) & 1}
+        assert {p for p, n in counts.items() if n >= 30} <= passes and len(passes) < 0.3 * len(counts)
 
 
 def test_packed_runs_read_back():
