@@ -24,8 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +47,27 @@ LEVEL = 3
 #: Bytes of frames per file, about; bytes read from one at once.
 SHARD_BYTES = 64 << 20
 READ_BYTES = 4 << 20
-#: Bytes of words and their ids a worker keeps.
-KNOWN_BYTES = 48 << 20
+#: Words a worker keeps, in each of two generations; texts up to this many bytes are worked on at once, and so many of them learnt from.
+KNOWN_WORDS = 500_000
+PIECE = 1 << 20
+TOGETHER = 64
+
+
+#: A cut that joins nothing: between a letter or digit and ASCII punctuation, but for the apostrophe of contractions. The
+#: letters are Latin, Greek and Cyrillic ones, which stay letters under normal form and lower case, all but U+0130.
+_WORD = r"[^\W_\u0130\u0250-\u036F\u0530-\U0010FFFF]"
+_POINT = r"[!-&(-/:-@\[-`{-~]"
+_CUT = re.compile(f"(?<={_WORD})(?={_POINT})|(?<={_POINT})(?={_WORD})")
 
 
 class Coder:
     """Whole texts to serialized ids, by the tokenizer in ``path``.
 
-    The tokenizer drops white space and joins nothing across it, so words between ASCII white
-    space are encoded by themselves, by the library, and kept while they fit in a bound.
+    The tokenizer drops white space and joins nothing across it, nor letters and digits with the
+    punctuation beside them. So words between ASCII white space, and their parts between such
+    cuts, are encoded by themselves, by the library, and kept while they fit in bounds. Parts that
+    are letters only go to the library many at a time: each is one word to it, whose last
+    token is one that ends words; where the count of those differs, parts go one by one.
     Strings of special tokens are ordinary text.
     """
 
@@ -64,28 +77,79 @@ class Coder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # words are kept here
+        names = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(names.values()) + 1, bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        if self.held > KNOWN_BYTES:
-            self.known, self.held = {}, 0
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        for word, made in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-            ids = np.array(made.ids, "<u4").tobytes()
-            self.known[word] = ids
-            self.held += len(word) + len(ids) + 200
+        self.older: dict[bytes, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(made.ids, "<u4").tobytes() for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of letters only."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(texts) or (len(ends) and ends[-1] != len(ids)):
+            return self._library(texts)
+        raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(at[:-1], at[1:])]
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Make all of ``words`` known; what was known is kept for one more generation."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        letters: dict[bytes, str] = {}
+        other: dict[bytes, str] = {}
+        cut: dict[bytes, list[bytes]] = {}
+        for word in words:
+            if word in known:
+                continue
+            if word in older:
+                known[word] = older[word]
+            elif word.isalpha() or (text := word.decode("utf-8", "replace")).isalpha():
+                letters[word] = word.decode()
+            else:
+                parts = _CUT.split(text)
+                if len(parts) == 1:
+                    other[word] = text
+                    continue
+                cut[word] = raws = [p.encode() for p in parts]
+                for raw, part in zip(raws, parts):
+                    if raw in known:
+                        continue
+                    if raw in older:
+                        known[raw] = older[raw]
+                    else:
+                        (letters if part.isalpha() else other)[raw] = part
+        known.update(zip(letters, self._words(list(letters.values()))))
+        known.update(zip(other, self._library(list(other.values()))))
+        for word, raws in cut.items():
+            known[word] = b"".join(map(known.__getitem__, raws))
+
+    def _ids(self, words: list[bytes]) -> bytes:
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            self._learn(dict.fromkeys(words))
+            return b"".join(map(self.known.__getitem__, words))
 
     def encode(self, body: bytes) -> bytes:
-        parts: list[bytes] = []
-        for piece in shared.spaced(body):
-            words = piece.split()
-            try:
-                parts.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                self._learn(words)
-                parts.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(parts)
+        return b"".join(self._ids(piece.split()) for piece in shared.spaced(body, PIECE))
+
+    def encode_all(self, bodies: list[bytes]) -> list[bytes]:
+        """Of many texts; the words that are new to short ones are learnt together."""
+        made: list[bytes] = []
+        for start in range(0, len(bodies), TOGETHER):
+            some = bodies[start : start + TOGETHER]
+            words = [b.split() if len(b) <= PIECE else None for b in some]
+            self._learn(set().union(*filter(None, words)).difference(self.known))
+            made += [self.encode(b) if w is None else self._ids(w) for b, w in zip(some, words)]
+        return made
 
 
 _CODERS: dict[str, Coder] = {}
@@ -118,7 +182,7 @@ def train(docs: DataFrame, path: str, end: int | None = 1, text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        samples = [coder.encode(b) + _end(end) for batch in batches for b in batch.column("body").to_pylist()]
+        samples = [ids + _end(end) for batch in batches for ids in coder.encode_all(batch.column("body").to_pylist())]
         try:
             made = zstandard.train_dictionary(DICTIONARY_BYTES, sorted(samples)).as_bytes()
         except zstandard.ZstdError:
@@ -145,7 +209,7 @@ def frames(docs: DataFrame, path: str, dictionary: bytes, end: int | None = 1, t
             held.precompute_compress(level=LEVEL)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=held)
         for batch in batches:
-            ids = [coder.encode(b or b"") + last for b in batch.column("body").to_pylist()]
+            ids = [i + last for i in coder.encode_all([b or b"" for b in batch.column("body").to_pylist()])]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.array(map(press.compress, ids), pa.binary())], ["doc_id", "n_tokens", "frame"])
 

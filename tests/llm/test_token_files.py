@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.fs as pafs
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -14,6 +15,7 @@ from edgelog.llm import shared, token_files as T
 from .helpers import awkward, none
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+CODER = T.Coder(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -47,10 +49,19 @@ def test_words_encode_as_the_library_does_whole_texts(library):
     coder = T.Coder(PATH)
     odd = [
         "It's they'll WE'VE  don't", "ΣΑΣ ΟΔΟΣ σ", "é ́x a ̀", "İstanbul ǅ ß ẞ", "汉字 ひらがな 한국어", "a b c　d\u0085e",
+        "a,b (c)d e_f 1.5m x,'s ,'s it's, l'été, été. ½% ²) Ⅷ! ªº; ä́, é̸<≠ x≮y ≠", "İ,ß.ſ;ŉ!ǰ?ΐ:ﬃ ﬀ.", "ａ，ｂ. 𝐀, 𝟙. 漢. 가, ㄱ.", "aǅb Ab,Cd A.B.C.",
         "x\x1cy\x1dz\x00w", "1234 5.6 ²³ ½", "😀👍🏽 e‍x", "<|endoftext|> <|startoftext|>x", "가 ᆨ", "Å Ω", "-- ...?!'s 's", "\t\n\v\f\r ", "",
     ]
     for text in odd + [" ".join(odd)]:
         assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == library(text), text
+    bodies = [t.encode() for t in odd]
+    assert T.Coder(PATH).encode_all(bodies) == [coder.encode(b) for b in bodies]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from("aZ'.,_ éσ̸́<1½"), max_size=30))
+def test_any_text_encodes_as_the_library_does(text):
+    assert np.frombuffer(CODER.encode(text.encode()), "<u4").tolist() == CODER.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_files_hold_every_text_in_order(spark, sf, library):
@@ -113,8 +124,8 @@ def test_without_an_end_id(spark, library):
 
 
 def test_a_full_table_of_words_is_emptied(monkeypatch, library):
-    monkeypatch.setattr(T, "KNOWN_BYTES", 500)
+    monkeypatch.setattr(T, "KNOWN_WORDS", 5)
     coder = T.Coder(PATH)
     for text in (" ".join(f"word{i}" for i in range(200)), "word3 word4 new", "x" * 5000, "word3"):
         assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == library(text)
-    assert len(coder.known) < 10
+    assert len(coder.known) < 10 and len(coder.older) < 210
