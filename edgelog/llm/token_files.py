@@ -39,7 +39,7 @@ from edgelog.llm import shared
 
 MAGIC = b"EDGETOK1"
 HEADER = len(MAGIC) + 32
-#: The sample a dictionary is trained on: distinct texts, none above ``SAMPLE_TEXT`` bytes.
+#: The sample a dictionary is trained on: texts of so many ids, none above ``SAMPLE_TEXT`` bytes.
 SAMPLE_ROWS = 2000
 SAMPLE_TEXT = 16 << 10
 DICTIONARY_BYTES = 112 << 10
@@ -48,7 +48,7 @@ LEVEL = 3
 SHARD_BYTES = 64 << 20
 READ_BYTES = 4 << 20
 #: Words a worker keeps, in each of two generations; texts up to this many bytes are worked on at once, and so many of them learnt from.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 600_000
 PIECE = 1 << 20
 TOGETHER = 64
 
@@ -169,16 +169,15 @@ def _end(end: int | None) -> bytes:
 def train(docs: DataFrame, path: str, end: int | None = 1, text: str = "text") -> bytes:
     """A dictionary for the ids of ``docs``; empty where the sample is too small to train one.
 
-    The sample is the ``SAMPLE_ROWS`` distinct texts of smallest hash among those of at most
+    The sample is a text each of the ``SAMPLE_ROWS`` ids of smallest hash, but for those above
     ``SAMPLE_TEXT`` bytes. One task trains; the driver gets ``DICTIONARY_BYTES`` at most.
     """
     shared.bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(text).cast("binary").alias("body")).filter(F.octet_length("body").between(1, SAMPLE_TEXT))
-    slim = slim.withColumn("mark", F.xxhash64("body"))
+    slim = docs.select(F.xxhash64("doc_id").alias("mark"), F.col(text).cast("binary").alias("body"))
     bound = slim.select("mark").distinct().orderBy("mark").limit(SAMPLE_ROWS).agg(F.max("mark")).first()[0]
     if bound is None:
         return b""
-    chosen = slim.filter(F.col("mark") <= bound).groupBy("mark").agg(F.min("body").alias("body"))
+    chosen = slim.filter((F.col("mark") <= bound) & F.octet_length("body").between(1, SAMPLE_TEXT)).groupBy("mark").agg(F.min("body").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
