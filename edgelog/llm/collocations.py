@@ -46,7 +46,7 @@ COUNTER_BITS = 26
 RUN_BITS = 16
 #: Distinct words a task counts before it sends them; words in a chunk, and in a part of one that is worked on at once.
 MAX_WORDS = 400_000
-CHUNK = 3_000_000
+CHUNK = 6_000_000
 PART = 1 << 18
 #: Groups in which the candidates of a language first meet to be ranked.
 DEAL = 32
