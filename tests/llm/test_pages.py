@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import html
+import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -151,6 +154,66 @@ def test_no_part_of_the_main_text_is_lost(page, wanted):
     assert not any(part in got for part in ("Home", "cookies", "See also", "Nice one", "Site"))
 
 
+@pytest.mark.parametrize(
+    "box",
+    [
+        "<div class='content with-sidebar'>{}</div>", "<div class='post no-comments'>{}</div>", "<article class='post has-sidebar'>{}</article>",
+        "<div class=widget>{}</div>", "<article class=share><div id=related>{}</div></article>", "<div id=sidebar><div class=popup>{}</div></div>",
+    ],
+)
+def test_names_never_take_the_whole_text(box):
+    text = f"{LONG}<h2>Sub</h2><p>Short.</p><div class=ad>Buy this, all of it, now</div>{LONG}"
+    got = H.main_text(f"<html><body class='has-sidebar'>{AROUND}{box.format(text)}{AFTER}</body></html>")
+    assert got == f"{(TEXT * 4).strip()}\n\nSub\n\nShort.\n\n{(TEXT * 4).strip()}"
+
+
+@pytest.mark.parametrize("name", ["id='notice-periods'", "class='share-prices'", "class='search-algorithms'", "class='no-comments'", "class='article-header'"])
+def test_names_about_something_else_keep_their_section(name):
+    got = H.main_text(f"<body><article>{LONG}<section {name}><h2>Part</h2><p>Said here.</p></section></article></body>")
+    assert got.endswith("Part\n\nSaid here.")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["class=ad", "class='ad-container'", "id=adBox", "class='comment-list'", "class='related-posts'", "class='social-links'", "class='cookie-banner'", "id=newsletter2", "role=complementary", "class='x sidebar-left'"],
+)
+def test_names_of_what_surrounds_a_text_leave_it_out(name):
+    for page in (f"<article>{LONG}<div {name}><p>{TEXT}extra</p></div>{LONG}</article>", f"<div>{LONG}{LONG}</div><div {name}><p>{TEXT}extra</p></div>"):
+        assert H.main_text(f"<body>{page}</body>") == f"{(TEXT * 4).strip()}\n\n{(TEXT * 4).strip()}"
+
+
+def test_a_short_article_beside_a_long_advert():
+    assert H.main_text(f"<body><div class=ad>{TEXT * 3}</div><article><h1>Title</h1><p>Brief.</p></article></body>") == "Title\n\nBrief."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>x" * 50_000, "<div class=ad>some text to read" * 50_000, "<b>" * 50_000 + "x</i>" * 50_000, "<div>" * 50_000 + "</section>" * 50_000 + "x",
+        "<b>" * 20_000 + "<p>x" * 20_000, "<i>" + "<div>x</i>" * 30_000, "<article>x" * 20_000, "<section>" * 50_000 + LONG,
+    ],
+)
+def test_deep_and_broken_pages_take_linear_time(page):
+    began = time.perf_counter()
+    assert H.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def plain_text(page):
+    """The given pages hold one article: its blocks, cut at tags by patterns alone."""
+    body = re.search(r"<article>(.*?)</article>", re.sub(r"(?s)<(script|style)>.*?</\1>", "", page or ""), re.S)
+    blocks = re.split(r"</?(?:p|h1|div|li|ul)\b[^>]*>", body[1]) if body else []
+    told = (re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", b)) for b in blocks)
+    return "\n\n".join(t for t in (" ".join(html.unescape(b).split()) for b in told) if t)
+
+
+def test_given_pages_equal_plain_code(spark):
+    for folder in ("sf0.001", "sf0.01"):
+        table = spark.read.parquet(f"/root/testdata/{folder}/pages.parquet")
+        want = {r.page_id: plain_text(r.html) for r in table.collect()}
+        assert {r.page_id: r.text for r in H.report(table).collect()} == want
+
+
 def test_lists_of_links_beside_the_text_go():
     assert "Other page" not in H.main_text(f"<body><div>{LONG}{LONG}</div><div><ul>{'<li><a href=/>Other page</a></li>' * 9}</ul></div></body>")
 
