@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -139,6 +141,22 @@ def slices(texts: pa.Array, size: int = 2 << 20) -> list[pa.Array]:
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` that gives memory back when a task ends; Python workers live on for tasks of other stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed pages otherwise
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 _BYTE = np.arange(256, dtype=np.uint8)
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 #: A-Z to a-z, every other byte as it is.
