@@ -67,6 +67,26 @@ def url_hour(df: DataFrame) -> DataFrame:
     return _ranked_shape(grouped.withColumn("downloadnum", F.lit(0.0)))
 
 
+def url_hour_totals(df: DataFrame, delay: str | None = None) -> DataFrame:
+    """:func:`url_hour` of a stream, whose state holds the counters of every URL and hour.
+
+    In update mode a batch gives the new totals of the URLs it touched. Counters only grow:
+    a size that cannot be read or is negative adds no bytes. Without ``delay`` the state
+    keeps all hours; with it an hour that began ``delay`` before the newest one is closed, and
+    its later records are dropped.
+    """
+    status = F.col("_status")
+    timed = _url_columns(df).withColumn("_hour", F.timestamp_seconds("time_unix"))
+    if delay:
+        timed = timed.withWatermark("_hour", delay)
+    grouped = timed.groupBy("domain", "request", "_hour").agg(
+        F.sum(F.greatest("traffic", F.lit(0.0))).alias("traffic"),
+        F.count(F.lit(1)).cast("double").alias("req_count"),
+        *[F.count_if(status == s).cast("double").alias(f"req{s}") for s in L.ERROR_STATUSES],
+    )
+    return _ranked_shape(grouped.withColumns({"time_unix": F.unix_seconds("_hour"), "downloadnum": F.lit(0.0)}))
+
+
 def _ranked_shape(df: DataFrame) -> DataFrame:
     errors = reduce(lambda a, b: a + b, [F.col(f"req{s}") for s in L.ERROR_STATUSES])
     return df.withColumns({"req_error": errors, "id": _url_id()}).select(
@@ -131,18 +151,21 @@ def metric_order(metric: str, legacy_order: bool = False) -> list[Column]:
     return [F.col(metric).desc(), F.col("id").desc()]
 
 
-def top_by(df: DataFrame, metric: str, n: int, legacy_order: bool = False, salts: int | None = None) -> DataFrame:
-    return top_n(df, ["domain"], metric_order(metric, legacy_order), n, salts)
+def top_by(
+    df: DataFrame, metric: str, n: int, legacy_order: bool = False, salts: int | None = None, by: list[str] | None = None,
+) -> DataFrame:
+    return top_n(df, by or ["domain"], metric_order(metric, legacy_order), n, salts)
 
 
 def top_union(
-    df: DataFrame, n: int, metrics: list[str] = TOP_METRICS, legacy_order: bool = False, salts: int | None = None
+    df: DataFrame, n: int, metrics: list[str] = TOP_METRICS, legacy_order: bool = False, salts: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Rows in the top ``n`` of any metric, once each.
+    """Rows in the top ``n`` of any metric, once each; ``by`` names the key, the domain by default.
 
     One plan per metric keeps the early cut in each; they read one shared rollup shuffle.
     """
-    tops = [top_by(df, m, n, legacy_order, salts) for m in metrics]
+    tops = [top_by(df, m, n, legacy_order, salts, by) for m in metrics]
     return reduce(DataFrame.unionByName, tops).dropDuplicates(["id", *_URL])
 
 

@@ -17,6 +17,7 @@ from edgelog import layouts as L
 from edgelog.functions.times import DEFAULT_TZ
 from edgelog.operators import archive, band, clean, filters, parse, rank, route
 from edgelog.sinks.writers import CURRENT_WRITER, found, raw_lines_archive, read_band, routed_upsert, stream_id, write_archive, write_event_store
+from edgelog.streaming import drain
 
 Handler = Callable[[DataFrame, int], None]
 _BROKER = ["partition", "offset"]
@@ -24,16 +25,20 @@ _BROKER = ["partition", "offset"]
 
 def run_stream(
     df: DataFrame, handler: Handler, checkpoint: str, interval: str | None = None, name: str | None = None,
-    writer: str | None = None,
+    writer: str | None = None, mode: str = "append",
 ) -> StreamingQuery:
     """Start a stream. Without ``interval`` it works off what is there and stops.
 
-    ``stop()`` on the returned query ends it between batches. What the stream writes is
-    marked with ``writer``, by default the id its checkpoint keeps, so streams on one table
+    ``stop()`` on the returned query interrupts a running batch; :func:`edgelog.streaming.drain.drain`
+    lets it finish. What the stream writes is marked with ``writer``, by default the id its checkpoint keeps, so streams on one table
     do not touch each other's rows. After the loss of a checkpoint a replay from the start
-    replaces the old rows if it is given the old writer and cuts the input as before.
+    replaces the old rows if it is given the old writer and cuts the input as before. ``mode``
+    is the output mode, ``update`` for changed rows of a state.
     """
-    out = df.writeStream.foreachBatch(_skip_empty(handler, writer))
+    # a request to stop that an earlier run left behind is not meant for this one
+    drain.withdraw_stop(df.sparkSession, checkpoint)
+    gate = drain.new_gate(checkpoint)
+    out = df.writeStream.outputMode(mode).foreachBatch(gate.through(_skip_empty(handler, writer)))
     if name:
         out = out.queryName(name)
     out = out.option("checkpointLocation", checkpoint)
@@ -201,12 +206,12 @@ def rank_handler(base: str, n: int = 100, value: str = "value", tz: str = DEFAUL
             routed_upsert(routed, f"{base}/rank", batch)
 
         need = ["time_unix", "domain", "request", "http_status", "body_bytes_sent"]
-        _store_narrow(clean.clean_band_flagged(_lenient_size(parsed)), need, "common34", base, batch, rows)
+        _store_narrow(clean.clean_band_flagged(lenient_size(parsed)), need, "common34", base, batch, rows)
 
     return run
 
 
-def _lenient_size(df: DataFrame) -> DataFrame:
+def lenient_size(df: DataFrame) -> DataFrame:
     """A rank counts a request of unreadable size with no bytes."""
     size = F.col("body_bytes_sent")
     return df.withColumn("body_bytes_sent", F.when(size.try_cast("double").isNotNull(), size).otherwise("0"))
