@@ -116,23 +116,46 @@ def add_coverage(spark: SparkSession, path: str, start: int, end: int, run: int,
     row.coalesce(1).write.mode("append").parquet(path)
 
 
+def coverage_intervals(coverage: DataFrame) -> DataFrame:
+    """Coverage as disjoint intervals per firm (null: all) with the newest run: ``firm_name, start, end, run``.
+
+    Neighbours of one run are one interval. There are at most two per rebuild and firm, however long
+    the ranges are. Null or empty ranges cover nothing.
+    """
+    ranges = coverage.where("start < end").groupBy("firm_name", "start", "end").agg(F.max("run").alias("run"))
+    points = ranges.select("firm_name", F.explode(F.array("start", "end")).alias("start")).distinct()
+    firm = Window.partitionBy("firm_name").orderBy("start")
+    pieces = points.withColumn("end", F.lead("start").over(firm)).where("end IS NOT NULL").alias("p")
+    over = F.col("p.firm_name").eqNullSafe(F.col("r.firm_name")) & (F.col("r.start") <= F.col("p.start")) & (F.col("r.end") >= F.col("p.end"))
+    newest = pieces.join(ranges.alias("r"), over).groupBy("p.firm_name", "p.start", "p.end").agg(F.max("r.run").alias("run"))
+    breaks = ~(F.lag("run").over(firm).eqNullSafe(F.col("run")) & F.lag("end").over(firm).eqNullSafe(F.col("start")))
+    runs = newest.withColumn("_new", breaks.cast("int")).withColumn("_part", F.sum("_new").over(firm))
+    return runs.groupBy("firm_name", "_part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("run").alias("run")).drop("_part")
+
+
 def effective_band(rows: DataFrame, coverage: DataFrame, step: int = 60) -> DataFrame:
     """Rollup rows that count: for a rebuilt bucket those of its newest rebuild, for any
     other bucket those the streams wrote.
 
     ``rows`` may hold buckets of several widths as long as each is a multiple of ``step``.
+    Coverage stays intervals; both sides are dealt into bins of the mean length of an interval, so an
+    interval lies in three bins on average and the join is an equi-join with a range check.
     """
-    buckets = coverage.select(
-        F.explode(F.sequence("start", F.col("end") - 1, F.lit(step).cast("bigint"))).alias("from_time"),
-        "firm_name", "run",
-    )
-    whole = buckets.where("firm_name IS NULL").groupBy("from_time").agg(F.max("run").alias("_all"))
-    firm = buckets.where("firm_name IS NOT NULL").groupBy("from_time", "firm_name").agg(
-        F.max("run").alias("_firm")
+    intervals = coverage_intervals(coverage)
+    mean = F.ceil(F.sum(F.col("end") - F.col("start")) / F.count(F.lit(1)) / step).cast("bigint") * step
+    bin_of = lambda at, width: F.expr(f"{at} div {width}")
+    sized = intervals.crossJoin(F.broadcast(intervals.agg(F.coalesce(mean, F.lit(step)).alias("_width"))))
+    binned = sized.withColumn("_bin", F.explode(F.sequence(bin_of("start", "_width"), bin_of("(end - 1)", "_width"))))
+    width = intervals.agg(F.coalesce(mean, F.lit(step))).scalar()
+    timed = rows.withColumn("_width", width).withColumn("_bin", bin_of("from_time", "_width")).alias("t")
+    side = lambda which, name: binned.where(which).select(
+        "_bin", "start", "end", F.col("firm_name").alias("_firm"), F.col("run").alias(name)
     )
-    joined = rows.join(whole, "from_time", "left").join(firm, ["from_time", "firm_name"], "left")
-    wanted = F.greatest(F.coalesce("_all", F.lit(0)), F.coalesce("_firm", F.lit(0)))
-    return joined.where(F.col("run") == wanted).select(*rows.columns)
+    inside = lambda x: (F.col("t._bin") == F.col(f"{x}._bin")) & (F.col("t.from_time") >= F.col(f"{x}.start")) & (F.col("t.from_time") < F.col(f"{x}.end"))
+    joined = timed.join(side("firm_name IS NULL", "_all").alias("a"), inside("a"), "left")
+    joined = joined.join(side("firm_name IS NOT NULL", "_own").alias("f"), inside("f") & (F.col("t.firm_name") == F.col("f._firm")), "left")
+    wanted = F.greatest(F.coalesce("_all", F.lit(0)), F.coalesce("_own", F.lit(0)))
+    return joined.where(F.col("t.run") == wanted).select(*[F.col(f"t.{c}") for c in rows.columns])
 
 
 def read_band(spark: SparkSession, base: str, prefix: str, index_type: str | None = None, start: int | None = None, end: int | None = None) -> DataFrame:

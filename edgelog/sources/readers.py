@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -111,9 +112,10 @@ def user_log_source(df: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def index_wildcard(df: DataFrame, names) -> DataFrame:
-    """Rows of the indices listed; a name may hold ``*``."""
+    """Rows of the indices listed; a name may hold ``*``, every other character stands for itself."""
     listed = [names] if isinstance(names, str) else list(names)
-    tests = [F.col("index_name").like(n.replace("_", r"\_").replace("*", "%")) for n in listed]
+    plain = lambda n: re.sub(r"([\\%_])", r"\\\1", n).replace("*", "%")
+    tests = [F.col("index_name").like(plain(n)) for n in listed]
     return df.where(reduce(lambda a, b: a | b, tests))
 
 
