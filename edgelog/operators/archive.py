@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from edgelog import layouts as L
 from edgelog.functions.scalars import log_time, quoted
 from edgelog.functions.times import DEFAULT_TZ, day_start_utc8, fmt_epoch, minute_text
-from edgelog.operators.parse import part_flagged, split_lines
+from edgelog.operators.parse import evaluated, part_flagged, split_lines
 
 _DAY = 86400
 MALFORMED_SUFFIX = "malformed"
@@ -33,11 +33,14 @@ def archive_row_key(df: DataFrame, salts: int = 10, tz: str = DEFAULT_TZ, form:
     )
 
 
+def _is_hot(time_col: str, as_of, hot_days: int) -> Column:
+    now = F.unix_timestamp(F.current_timestamp()) if as_of is None else F.lit(as_of)
+    return now - day_start_utc8(time_col) <= hot_days * _DAY
+
+
 def table_suffix(time_col: str = "time_unix", as_of=None, hot_days: int = 30, tz: str = DEFAULT_TZ) -> Column:
     """Daily table while the log day is at most ``hot_days`` old, else the monthly one."""
-    now = F.unix_timestamp(F.current_timestamp()) if as_of is None else F.lit(as_of)
-    age = now - day_start_utc8(time_col)
-    return F.when(age <= hot_days * _DAY, fmt_epoch(time_col, "yyyyMMdd", tz)).otherwise(
+    return F.when(_is_hot(time_col, as_of, hot_days), fmt_epoch(time_col, "yyyyMMdd", tz)).otherwise(
         fmt_epoch(time_col, "yyyyMM", tz)
     )
 
@@ -100,22 +103,23 @@ def archive_lines_flagged(
         .when(exact & seconds.isNull(), F.lit("bad time_unix"))
     )
     timed = fields.withColumns({"time_unix": seconds, "_reason": reason, "_exact": exact})
-    malformed_key = F.concat(
-        _salt(line, 10), F.lit("#!"), F.lit(L.MALFORMED_MINUTE), F.lit("#"), F.md5("file_name"),
-        F.lit("#"), F.col("line_num"),
-    )
-    info, info1 = pack_cells(timed)
+    # one time text and one hash per line: key, minute and table are cut from them
+    once = evaluated(timed, _minute=minute_text("time_unix", tz), _md5=F.md5("file_name"), _salt=_salt(line, salts), _salt10=_salt(line, 10))
+    key = F.concat("_salt", F.lit("#!"), "_minute", F.lit("#!"), "firm_name", F.lit("#"), "_md5", F.lit("#"), "line_num")
+    malformed_key = F.concat("_salt10", F.lit("#!"), F.lit(L.MALFORMED_MINUTE), F.lit("#"), "_md5", F.lit("#"), "line_num")
+    info, info1 = pack_cells(once)
     pick = lambda good, other: F.when(F.col("_exact"), good).otherwise(other)
-    return timed.select(
+    table = F.when(_is_hot("time_unix", as_of, hot_days), F.substring("_minute", 1, 8)).otherwise(F.substring("_minute", 1, 6))
+    return once.select(
         "_raw", "_reason",
-        pick(archive_row_key(timed, salts, tz), malformed_key).alias("row_key"),
-        pick(minute_text("time_unix", tz), F.lit(L.MALFORMED_MINUTE)).alias("log_minute"),
+        pick(key, malformed_key).alias("row_key"),
+        pick(F.col("_minute"), F.lit(L.MALFORMED_MINUTE)).alias("log_minute"),
         "firm_name",
-        F.md5("file_name").alias("file_md5"),
+        F.col("_md5").alias("file_md5"),
         "line_num",
         pick(info, F.lit(None)).alias("info"),
         pick(info1, quoted(["_rawdata", "_error"])).alias("info1"),
-        pick(table_suffix("time_unix", as_of, hot_days, tz), F.lit(MALFORMED_SUFFIX)).alias("table_suffix"),
+        pick(table, F.lit(MALFORMED_SUFFIX)).alias("table_suffix"),
     )
 
 

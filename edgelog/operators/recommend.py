@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def ratings_text(df: DataFrame, value: str = "value") -> DataFrame:
     """``user item rate`` lines as ratings."""
     p = F.split(value, " ")
@@ -49,21 +48,37 @@ def libsvm(spark: SparkSession, path: str, num_features: int | None = None) -> D
     return reader.load(path)
 
 
-def als_top(
-    ratings: DataFrame, users: DataFrame, n: int = 1, rank: int = 2, iterations: int = 2, reg: float = 0.02,
-    seed: int = 7,
-) -> DataFrame:
-    """The ``n`` items a factor model ranks first for each of ``users``."""
-    model = ALS(
+def als_model(ratings: DataFrame, rank: int = 2, iterations: int = 2, reg: float = 0.02, seed: int = 7):
+    """A factor model of ``user, item, rating`` rows; ratings of one pair should be one row."""
+    return ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user", itemCol="item",
         ratingCol="rating", coldStartStrategy="drop",
     ).fit(ratings)
+
+
+def als_items(model, users: DataFrame, n: int = 1) -> DataFrame:
+    """The ``n`` items ``model`` ranks first for each of ``users``; users it does not know have none."""
     top = model.recommendForUserSubset(users, n)
     return top.select("user", F.explode("recommendations").alias("r")).select(
         "user", F.col("r.item").alias("item"), F.col("r.rating").cast("double").alias("score")
     )
 
 
+def als_top(
+    ratings: DataFrame, users: DataFrame, n: int = 1, rank: int = 2, iterations: int = 2, reg: float = 0.02,
+    seed: int = 7,
+) -> DataFrame:
+    """:func:`als_items` of a model made from ``ratings``."""
+    return als_items(als_model(ratings, rank, iterations, reg, seed), users, n)
+
+
+def als_error(model, ratings: DataFrame) -> DataFrame:
+    """Ratings the model predicts, its mean squared error and that of the mean rating."""
+    scored = model.transform(ratings).select(F.col("rating").cast("double").alias("rating"), F.col("prediction").cast("double").alias("prediction"))
+    gap = F.col("rating") - F.col("prediction")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(gap * gap).alias("model_error"), F.var_pop("rating").alias("mean_error"))
+
+
 def cosine_users(ratings: DataFrame, user, digits: int = 6) -> DataFrame:
     """Cosine similarity of one user's ratings with every user's, missing ones being 0.
 
@@ -90,12 +105,12 @@ def linear_regression(points: DataFrame, iterations: int = 100):
     return LinearRegression(maxIter=iterations).fit(points)
 
 
-def logistic_regression(points: DataFrame, iterations: int = 50):
-    return LogisticRegression(maxIter=iterations).fit(points)
+def logistic_regression(points: DataFrame, iterations: int = 50, tol: float = 1e-6):
+    return LogisticRegression(maxIter=iterations, tol=tol).fit(points)
 
 
-def linear_svc(points: DataFrame, iterations: int = 10):
-    return LinearSVC(maxIter=iterations).fit(points)
+def linear_svc(points: DataFrame, iterations: int = 10, reg: float = 0.0):
+    return LinearSVC(maxIter=iterations, regParam=reg).fit(points)
 
 
 def split_points(points: DataFrame, weights=(0.6, 0.4), seed: int = 11) -> list[DataFrame]:
