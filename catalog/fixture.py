@@ -19,7 +19,7 @@ LOG = {
     "firm_name": "CASE user_id % 4 WHEN 0 THEN 'BS' WHEN 1 THEN 'WS' WHEN 2 THEN 'VC' ELSE 'UP' END",
     "layer": "CAST(user_id % 3 AS STRING)",
     "domain": "'d' || CAST(user_id % 6 AS STRING)"
-    " || CASE WHEN user_id % 6 = 5 THEN '.wasu.cn' ELSE '.example.com' END",
+    " || CASE WHEN user_id % 6 = 5 THEN '.media.test' ELSE '.example.com' END",
     "request": "'/v/' || CAST(event_id % 50 AS STRING)",
     "method": "'GET'",
     "protocol": "'HTTP/1.1'",

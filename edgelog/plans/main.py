@@ -13,9 +13,9 @@ from edgelog import layouts as L
 from edgelog.functions.times import DEFAULT_TZ
 from edgelog.plans import jobs
 from edgelog.session import build_session
-from edgelog.sinks import writers
+from edgelog.sinks import snapshots, writers
 from edgelog.sources import readers
-from edgelog.streaming import runner
+from edgelog.streaming import drain, hour_rank, ledger, runner, windows
 
 
 def _stream_source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -49,17 +49,40 @@ def _handler(a: argparse.Namespace) -> runner.Handler:
         return runner.raw_handler(a.out)
     if a.job == "rank-stream":
         return runner.rank_handler(a.out, a.top, tz=a.tz)
+    if a.job == "late-band-stream":
+        return windows.late_band_handler(a.out, a.delay, a.kind, tz=a.tz)
     if a.job == "archive-stream":
         return runner.archive_handler(a.out, salts=a.salts, hot_days=a.hot_days, tz=a.tz)
     return runner.sql_handler(a.view, a.sql, _sql_sink(a.out), f"{a.out}-quarantine")
 
 
+def _stream(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Run a stream until its input ends, an error, a request to stop or a pause of ``--idle``."""
+    source = _stream_source(spark, a)
+    reports = ledger.ProgressLedger(spark, a.out) if a.ledger else None
+    if reports:
+        spark.streams.addListener(reports)
+    try:
+        if a.job == "hour-rank-stream":
+            started = hour_rank.run_hour_rank(source, a.out, a.checkpoint, a.top, delay=a.expire, tz=a.tz, interval=a.interval, writer=a.writer)
+            drain.supervise_all(spark, dict(zip(hour_rank.checkpoints(a.checkpoint), started)), a.checkpoint, idle=a.idle)
+        else:
+            handler = _handler(a)
+            handler = ledger.recorded(handler, a.out, a.job) if a.ledger else handler
+            query = runner.run_stream(source, handler, a.checkpoint, a.interval, a.job, a.writer)
+            drain.supervise(spark, query, a.checkpoint, idle=a.idle)
+    finally:
+        if reports:
+            spark.streams.removeListener(reports)
+
+
 def _archive(spark: SparkSession, path: str) -> DataFrame:
     return writers.read_routed(spark, path, ["table_suffix"])
 
 
 STREAMS = (
     "band-stream", "detail-stream", "rank-stream", "archive-stream", "sql-stream", "firm-day-stream", "event-stream", "raw-stream",
+    "late-band-stream", "hour-rank-stream",
 )
 
 
@@ -89,6 +112,10 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--keep", action="store_true", help="apply the retention policy")
         p.add_argument("--index", help="what the names of detail indices start with")
         p.add_argument("--keep-domain", help="text of domains whose successes are kept on any layer")
+        p.add_argument("--delay", type=int, default=3600, help="seconds after which a window of late-band-stream closes")
+        p.add_argument("--expire", help="for example '2 days': when hour-rank-stream forgets an hour; never by default")
+        p.add_argument("--ledger", action="store_true", help="keep the offsets of each batch and the engine's reports next to the tables")
+        p.add_argument("--idle", type=float, help="end after so many seconds without input")
         p.add_argument("--allow-data-loss", action="store_true", help="go on where the broker no longer has saved offsets")
 
     p = jobs_.add_parser("rebuild-band")
@@ -121,6 +148,19 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument(name)
     p.add_argument("--kind", default="fusion", choices=["fusion", "jx"])
 
+    p = jobs_.add_parser("stop-stream", help="let the stream of a checkpoint finish its batch and end")
+    p.add_argument("checkpoint")
+
+    p = jobs_.add_parser("gaps", help="offset ranges no batch of the streams has read")
+    for name in ("base", "out"):
+        p.add_argument(name)
+
+    p = jobs_.add_parser("refresh-snapshot", help="bring a snapshot of newest rows up to date, reading only new batches")
+    for name in ("base", "target"):
+        p.add_argument(name)
+    p.add_argument("--part", default="index_name", help="folder columns, parted by commas")
+    p.add_argument("--keys", default="id", help="columns of the key, parted by commas")
+
     p = jobs_.add_parser("snapshot", help="the newest row of each key, as a table of its own")
     for name in ("base", "target"):
         p.add_argument(name)
@@ -151,9 +191,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
     spark = spark or build_session(f"edgelog-{a.job}")
-    if a.job.endswith("-stream"):
-        source = _stream_source(spark, a)
-        runner.run_stream(source, _handler(a), a.checkpoint, a.interval, a.job, a.writer).awaitTermination()
+    if a.job == "stop-stream":
+        drain.request_stop(spark, a.checkpoint)
+    elif a.job.endswith("-stream"):
+        _stream(spark, a)
+    elif a.job == "gaps":
+        ledger.gaps(ledger.ledger(spark, a.base)).write.mode("overwrite").parquet(a.out)
+    elif a.job == "refresh-snapshot":
+        snapshots.refresh(spark, a.base, a.target, a.keys.split(","), a.part.split(","))
     elif a.job == "rebuild-band":
         archive = _archive(spark, a.archive)
         jobs.run_rebuild(spark, archive, a.out, a.from_min, a.to_min, a.firm, a.kind, tz=a.tz)
