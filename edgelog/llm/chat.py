@@ -17,6 +17,8 @@ HEAD, SAYS, NEXT, END = "### ", "<says>", "<next>", "</turn>\n"
 #: Fixed values of the template: character and its escape, in the order of escaping.
 ESCAPES = (("\\", "\\s"), ("<", "\\l"), ("#", "\\h"))
 TRAINED = "assistant"
+#: Texts whose places are summed one by one.
+STEP = 256
 
 
 def escape(text: Column) -> Column:
@@ -39,16 +41,68 @@ def collected(rows: DataFrame) -> DataFrame:
 
 
 def merged(turns: Column) -> Column:
-    """Adjacent turns of one role as one struct of the role and all their texts."""
+    """Adjacent turns of one role as one struct of the role and all their texts, linear in the turns."""
+    places = F.sequence(F.lit(1), F.size(turns))
+    role = lambda i: F.try_element_at(turns, i)["role"]
+    starts = F.filter(places, lambda i: (i == 1) | (role(i) != role(F.greatest(i - 1, F.lit(1)))))
+    ends = F.filter(places, lambda i: (i == F.size(turns)) | (role(i) != role(F.least(i + 1, F.size(turns)))))
 
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(fresh)))
+    def run(start: Column, end: Column) -> Column:
+        texts = F.transform(F.slice(turns, start, end - start + 1), lambda t: t["text"])
+        return F.struct(role(start).alias("role"), texts.alias("texts"))
 
-    return F.aggregate(turns, F.expr("cast(array() as array<struct<role: string, texts: array<string>>>)"), add)
+    return F.zip_with(starts, ends, run)
+
+
+MASK = "array<struct<start: int, length: int, byte_start: int, bytes: int>>"
+
+
+def _sizes(blocks: Column) -> Column:
+    """Per text: what stands before it, its own length, and what ends the last text of a block, in code points and bytes."""
+
+    def size(b: Column, t: Column, i: Column) -> Column:
+        first, fixed = i == 0, len(HEAD) + len(SAYS)
+        return F.struct(
+            F.when(first, F.length(b["role"]) + fixed).otherwise(len(NEXT)).alias("before"), F.length(t).alias("length"),
+            F.when(first, F.octet_length(b["role"]) + fixed).otherwise(len(NEXT)).alias("byte_before"), F.octet_length(t).alias("bytes"),
+            F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).alias("after"), (b["role"] == TRAINED).alias("trained"),
+        )
+
+    return F.flatten(F.transform(blocks, lambda b: F.transform(b["texts"], lambda t, i: size(b, t, i))))
+
+
+def _ranges(sizes: Column) -> Column:
+    """The places of every text of the trained role in the string.
+
+    ``sizes`` must be a column by itself. Running sums go over ``STEP`` texts at a time and then over
+    those, as an array that grows text by text is copied each time.
+    """
+
+    def step(done: Column, t: Column) -> Column:
+        start, byte = done["end"] + t["before"], done["byte_end"] + t["byte_before"]
+        here = F.array(F.struct(start.alias("start"), t["length"].alias("length"), byte.alias("byte_start"), t["bytes"].alias("bytes")))
+        return F.struct(
+            (start + t["length"] + t["after"]).alias("end"), (byte + t["bytes"] + t["after"]).alias("byte_end"),
+            F.when(t["trained"], F.concat(done["mask"], here)).otherwise(done["mask"]).alias("mask"),
+        )
+
+    none = F.struct(F.lit(0).alias("end"), F.lit(0).alias("byte_end"), F.expr(f"cast(array() as {MASK})").alias("mask"))
+    starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(1), F.size(sizes), F.lit(STEP))).otherwise(F.expr("cast(array() as array<int>)"))
+    parts = F.transform(starts, lambda i: F.aggregate(F.slice(sizes, i, STEP), none, step))
+
+    def after(done: Column, part: Column) -> Column:
+        moved = F.transform(
+            part["mask"],
+            lambda m: F.struct(
+                (m["start"] + done["end"]).alias("start"), m["length"].alias("length"), (m["byte_start"] + done["byte_end"]).alias("byte_start"), m["bytes"].alias("bytes"),
+            ),
+        )
+        return F.struct(
+            (done["end"] + part["end"]).alias("end"), (done["byte_end"] + part["byte_end"]).alias("byte_end"), F.concat(done["masks"], F.array(moved)).alias("masks"),
+        )
+
+    empty = F.struct(F.lit(0).alias("end"), F.lit(0).alias("byte_end"), F.expr(f"cast(array() as array<{MASK}>)").alias("masks"))
+    return F.flatten(F.aggregate(parts, empty, after)["masks"])
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
@@ -57,31 +111,19 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     ``rows`` has ``conv_id, turn, role, text``. Null roles and texts count as empty, a null
     turn comes first, rows without a conversation form one of their own. Repeated rows
     are turns. ``mask`` lists start (from 0) and length, in code points of ``formatted``,
-    of every text of the trained role. Other columns are not read; no rows give none.
+    of every text of the trained role, and the same in bytes of UTF-8. Other columns are not
+    read; no rows give none.
+
+    A conversation is a row and so must fit a task, its string 2 GB; time is linear in its turns up
+    to some 100,000 of them.
     """
     blocks = collected(rows).select("conv_id", merged(F.col("turns")).alias("blocks"))
 
     def block(b: Column) -> Column:
         return F.concat(F.lit(HEAD), b["role"], F.lit(SAYS), F.array_join(b["texts"], NEXT), F.lit(END))
 
-    def ranges(at: Column, b: Column) -> Column:
-        """Ranges of a block's texts: each starts behind the one before and a mark."""
-        start = at["end"] + F.length(F.lit(HEAD)) + F.length(b["role"]) + F.length(F.lit(SAYS))
-        whole = F.aggregate(
-            b["texts"], F.struct(start.alias("next"), at["mask"].alias("mask")),
-            lambda s, t: F.struct(
-                (s["next"] + F.length(t) + len(NEXT)).alias("next"),
-                F.when(b["role"] == TRAINED, F.concat(s["mask"], F.array(F.struct(s["next"].alias("start"), F.length(t).alias("length")))))
-                .otherwise(s["mask"]).alias("mask"),
-            ),
-        )
-        return F.struct((whole["next"] - len(NEXT) + len(END)).alias("end"), whole["mask"].alias("mask"))
-
-    none = F.struct(F.lit(0).alias("end"), F.expr("cast(array() as array<struct<start: int, length: int>>)").alias("mask"))
-    return blocks.select(
-        "conv_id", F.array_join(F.transform("blocks", block), "").alias("formatted"),
-        F.aggregate("blocks", none, ranges)["mask"].alias("mask"),
-    )
+    sized = blocks.select("conv_id", "blocks", _sizes(F.col("blocks")).alias("sizes"))
+    return sized.select("conv_id", F.array_join(F.transform("blocks", block), "").alias("formatted"), _ranges(F.col("sizes")).alias("mask"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -96,15 +138,15 @@ def read_back(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
-def under_mask(formatted: Column, mask: Column) -> Column:
-    """All text under the mask, unescaped, in order."""
-    return F.array_join(F.transform(mask, lambda m: unescape(F.substr(formatted, m["start"] + 1, m["length"]))), "")
+def under_mask(raw: Column, mask: Column) -> Column:
+    """All text under the mask, unescaped, in order; ``raw``, a column by itself, has the bytes of the string."""
+    return F.array_join(F.transform(mask, lambda m: unescape(F.substr(raw, m["byte_start"] + 1, m["bytes"]).cast("string"))), "")
 
 
 def report(rows: DataFrame) -> DataFrame:
     """Per conversation, read back from the formatted string and its mask."""
-    made = format_conversations(rows)
-    read = made.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), under_mask(F.col("formatted"), F.col("mask")).alias("loss"))
+    made = format_conversations(rows).select("conv_id", "formatted", "mask", F.col("formatted").cast("binary").alias("raw"))
+    read = made.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), under_mask(F.col("raw"), F.col("mask")).alias("loss"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),

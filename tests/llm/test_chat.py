@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -42,3 +43,28 @@ def test_adjacent_turns_share_a_header_and_the_mask_is_exact(spark):
 def test_no_python_in_the_plan(spark, capsys):
     C.report(C.with_probe(spark.createDataFrame(ROWS, SCHEMA).filter(F.col("conv_id") > 0))).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_a_very_long_conversation_takes_linear_time(spark):
+    n = 40_000
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "CASE WHEN id % 3 = 0 THEN 'user' ELSE 'assistant' END AS role", "concat('é<', id) AS text")
+    began = time.perf_counter()
+    got = [tuple(r)[:5] for r in C.report(rows).collect()]
+    assert time.perf_counter() - began < 60
+    assert got == brute([tuple(r) for r in rows.collect()])
+
+
+def test_the_mask_is_the_same_in_code_points_and_bytes(spark, monkeypatch):
+    monkeypatch.setattr(C, "STEP", 2)
+    for row in C.format_conversations(spark.createDataFrame(ROWS, SCHEMA)).collect():
+        raw = row.formatted.encode()
+        for m in row.mask:
+            assert raw[m.byte_start : m.byte_start + m.bytes].decode() == row.formatted[m.start : m.start + m.length]
+        texts = [t or "" for c, _, r, t in ROWS if c == row.conv_id and r == "assistant"]
+        assert sorted(plain(row.formatted[m.start : m.start + m.length]) for m in row.mask) == sorted(texts)
+
+
+def plain(text):
+    for char, coded in reversed(C.ESCAPES):
+        text = text.replace(coded, char)
+    return text
