@@ -5,7 +5,6 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from catalog import job_queries, stream_queries  # noqa: F401
 from catalog.queries import ORACLES, QUERIES
 from tests.helpers import rows
 
