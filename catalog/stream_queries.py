@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import threading
 import time
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +22,44 @@ from edgelog.streaming import drain, hour_rank, ledger, runner, windows
 _START = 1704067200
 
 
-def _files(frames: list[DataFrame], path: str) -> str:
-    """One file per frame; the file source takes them in the order they were written."""
+#: Rows of a file; a batch is read by as many tasks as it has files.
+_FILE_ROWS = 50_000
+
+
+class Batches(NamedTuple):
+    """Files of a folder, ``width`` of them a batch, in the order they were written."""
+
+    path: str
+    width: int
+
+
+def _files(frames: list[DataFrame], path: str, width: int | None = None) -> Batches:
+    """A batch per frame, its rows dealt among ``width`` files, by default as many as the largest frame needs.
+
+    Where a frame has fewer rows than files, empty files make up the number, by which the file source tells batches.
+    """
+    width = width or max(1, *(-(-frame.count() // _FILE_ROWS) for frame in frames))
+    spark = frames[0].sparkSession
     for frame in frames:
-        frame.coalesce(1).write.mode("append").parquet(path)
+        whole = _written(spark, path) + width
+        frame.repartition(width).write.mode("append").parquet(path)
+        while _written(spark, path) < whole:
+            spark.createDataFrame([], frame.schema).write.mode("append").parquet(path)
         time.sleep(0.05)
-    return path
+    return Batches(path, width)
+
+
+def _written(spark: SparkSession, path: str) -> int:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*.parquet")
+    return len(where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or ())
 
 
-def _hours(spark: SparkSession, sf: str, hours: list[str], path: str) -> str:
+def _hours(spark: SparkSession, sf: str, hours: list[str], path: str) -> Batches:
     return _files([_lines(spark, sf, L.VENDOR_37, f"(time_unix - {_START}) div 3600 IN ({h})") for h in hours], path)
 
 
-def _source(spark: SparkSession, path: str, schema=L.RAW_LINE_SCHEMA) -> DataFrame:
-    return readers.source(spark, "parquet", schema, path, maxFilesPerTrigger=1)
+def _source(spark: SparkSession, files: Batches, schema=L.RAW_LINE_SCHEMA) -> DataFrame:
+    return readers.source(spark, "parquet", schema, files.path, maxFilesPerTrigger=files.width)
 
 
 # ---- ending a stream ---------------------------------------------------------------
@@ -91,9 +116,9 @@ def _(spark, sf):
     line = fx.wire_sql(L.VENDOR_37)
     placed = fx.log(spark, sf).selectExpr("*", "line_num div 6 AS o").where(f"NOT ({_LOST})")
     part = lambda which: placed.where(which).selectExpr(f"{line} AS value", *_TOPIC.split(", "), "o AS offset")
-    path = _files([part(b) for b in _BATCHES], f"{base}/in")
+    files = _files([part(b) for b in _BATCHES], f"{base}/in")
     handler = ledger.recorded(runner.raw_handler(f"{base}/out"), f"{base}/out", "raw")
-    runner.run_stream(_source(spark, path, "value string, topic string, partition int, offset bigint"), handler, f"{base}/c").awaitTermination()
+    runner.run_stream(_source(spark, files, "value string, topic string, partition int, offset bigint"), handler, f"{base}/c").awaitTermination()
     kept = ledger.ledger(spark, f"{base}/out")
     place = ["topic", "partition"]
     rows = kept.groupBy(*place).agg(F.lit("rows").alias("kind"), F.min("first_offset").alias("from_offset"), F.max("last_offset").alias("to_offset"), F.sum("rows").alias("n"))
@@ -111,9 +136,9 @@ def _(spark, sf):
 def _(spark, sf):
     """Rows read, kept and rejected per batch."""
     base = _folder(spark, "balance")
-    path = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
+    files = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
     handler = ledger.recorded(runner.detail_handler(f"{base}/out"), f"{base}/out", "detail")
-    runner.run_stream(_source(spark, path), handler, f"{base}/c").awaitTermination()
+    runner.run_stream(_source(spark, files), handler, f"{base}/c").awaitTermination()
     return ledger.balance(spark, f"{base}/out").select("batch", "rows", "good", "bad")
 
 
@@ -130,8 +155,8 @@ def _hour_top(metric: str, n: int) -> str:
 def _(spark, sf):
     """Five batches that each hold a part of every hour: the lists are those of the whole hours."""
     base = _folder(spark, "hour-rank")
-    path = _files([_lines(spark, sf, L.VENDOR_34, f"line_num div 4 % 5 = {b}") for b in range(5)], f"{base}/in")
-    for query_ in hour_rank.run_hour_rank(_source(spark, path), f"{base}/out", f"{base}/c", n=3):
+    files = _files([_lines(spark, sf, L.VENDOR_34, f"line_num div 4 % 5 = {b}") for b in range(5)], f"{base}/in")
+    for query_ in hour_rank.run_hour_rank(_source(spark, files), f"{base}/out", f"{base}/c", n=3):
         query_.awaitTermination()
     columns = ["id", "time_unix", "domain", "request", *L.RANK_MEASURES]
     return hour_rank.hour_tops(spark, f"{base}/out").select(*columns)
@@ -140,10 +165,10 @@ def _(spark, sf):
 def _chained(spark: SparkSession, sf: str, widths: tuple[str, ...]) -> DataFrame:
     """The hours in order, then a line of a later day, which closes every window before it."""
     base = _folder(spark, "chained")
-    path = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
+    files = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
     later = fx.log(spark, sf).limit(1).withColumn("time_unix", F.col("time_unix") + 30 * 86400).withColumn("body_bytes_sent", F.lit("0"))
-    _files([later.selectExpr(f"{fx.wire_sql(L.VENDOR_37)} AS value")], path)
-    good, _ = clean.clean_band(parse.parse_lines(_source(spark, path), "fusion_band37")[0])
+    _files([later.selectExpr(f"{fx.wire_sql(L.VENDOR_37)} AS value")], *files)
+    good, _ = clean.clean_band(parse.parse_lines(_source(spark, files), "fusion_band37")[0])
     closed = windows.chained_band(good, L.FUSION_KEYS, "10 minutes", widths)
     out = f"{base}/out"
     stream = runner.run_stream(closed, lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch={batch}"), f"{base}/c")
@@ -172,9 +197,9 @@ def _(spark, sf):
 def _(spark, sf):
     """Hours 1 and 3 come in order, hours 0 and 2 after the close of their windows: nothing is lost."""
     base = _folder(spark, "late")
-    path = _hours(spark, sf, ["1", "3", "0, 2"], f"{base}/in")
+    files = _hours(spark, sf, ["1", "3", "0, 2"], f"{base}/in")
     handler = windows.late_band_handler(f"{base}/out", delay=600)
-    runner.run_stream(_source(spark, path), handler, f"{base}/c").awaitTermination()
+    runner.run_stream(_source(spark, files), handler, f"{base}/c").awaitTermination()
     sides = (("window", windows.window_rows), ("late", windows.late_rows))
     parts = [side(spark, f"{base}/out", L.FUSION_KEYS).withColumn("kind", F.lit(name)) for name, side in sides]
     return parts[0].unionByName(parts[1])
@@ -237,10 +262,10 @@ def _(spark, sf):
 def _(spark, sf):
     """User SQL over each of four batches; its partial rows add up."""
     base = _folder(spark, "sql")
-    path = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
+    files = _hours(spark, sf, ["0", "1", "2", "3"], f"{base}/in")
     sink = lambda df, batch: writers.routed_upsert(df, f"{base}/out", batch)
     text = "SELECT 'sums' AS index_name, lowfirmname, filetime, count(*) AS n, sum(body_bytes_sent) AS size FROM batch GROUP BY ALL"
-    runner.run_stream(_source(spark, path), runner.sql_handler("batch", text, sink, f"{base}/bad"), f"{base}/c").awaitTermination()
+    runner.run_stream(_source(spark, files), runner.sql_handler("batch", text, sink, f"{base}/bad"), f"{base}/c").awaitTermination()
     sums = writers.read_routed(spark, f"{base}/out").groupBy("lowfirmname", "filetime")
     return sums.agg(F.sum("n").alias("n"), F.sum("size").cast("bigint").alias("size"))
 
@@ -275,9 +300,9 @@ def _(spark, sf):
 def _(spark, sf):
     """Own detail records: retention, cleaning, ids and indices, over two batches run twice."""
     base = _folder(spark, "detail")
-    path = _files([_lines(spark, sf, L.OWN_45, f"line_num % 2 = {b}") for b in (0, 1)], f"{base}/in")
+    files = _files([_lines(spark, sf, L.OWN_45, f"line_num % 2 = {b}") for b in (0, 1)], f"{base}/in")
     for run in (0, 1):
-        runner.run_stream(_source(spark, path), runner.detail_handler(f"{base}/out", "jx"), f"{base}/c{run}", writer="detail").awaitTermination()
+        runner.run_stream(_source(spark, files), runner.detail_handler(f"{base}/out", "jx"), f"{base}/c{run}", writer="detail").awaitTermination()
     table = writers.read_routed(spark, f"{base}/out/detail")
     return table.select("index_name", "id", F.col("http_status").cast("string").alias("status"), F.col("body_bytes_sent").cast("double").alias("size"))
 
@@ -292,8 +317,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Bytes per event time and domain, by day; partial rows of four batches add up."""
     base = _folder(spark, "events")
-    path = _files([_lines(spark, sf, L.VENDOR_37, f"line_num div 4 % 4 = {b}") for b in range(4)], f"{base}/in")
-    runner.run_stream(_source(spark, path), runner.event_handler(f"{base}/out"), f"{base}/c").awaitTermination()
+    files = _files([_lines(spark, sf, L.VENDOR_37, f"line_num div 4 % 4 = {b}") for b in range(4)], f"{base}/in")
+    runner.run_stream(_source(spark, files), runner.event_handler(f"{base}/out"), f"{base}/c").awaitTermination()
     table = writers.read_routed(spark, f"{base}/out/events", ["day"])
     return table.groupBy("day", F.unix_seconds("time_local").alias("at"), "domain").agg(F.sum("body_bytes_sent").alias("size"))
 
