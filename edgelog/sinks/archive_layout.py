@@ -16,6 +16,8 @@ from edgelog.sinks.writers import found, read_routed, routed_upsert
 #: Bits of each side of the Morton code; bits of a file's bitmap.
 SIDE_BITS = 8
 KEY_BITS = 16
+#: Rows that a task sorts and writes, in one file or several.
+TASK_ROWS = 100_000
 _PART = ["table_suffix"]
 
 
@@ -40,7 +42,9 @@ def morton(rows: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.orderBy("firm_name")) - 1
     coded = firms.select("firm_name", (place * side / firms.agg(F.count(F.lit(1))).scalar()).cast("int").alias("_firm"))
     same = F.col("r.firm_name").eqNullSafe(F.col("c.firm_name"))
-    told = rows.alias("r").join(spans.alias("s"), [F.col(f"r.{p}").eqNullSafe(F.col(f"s.{p}")) for p in _PART], "left").join(coded.alias("c"), same, "left")
+    # a row per table and per firm: sent to the rows, which a shuffle by table would heap in a task per table
+    spans, coded = F.broadcast(spans.alias("s")), F.broadcast(coded.alias("c"))
+    told = rows.alias("r").join(spans, [F.col(f"r.{p}").eqNullSafe(F.col(f"s.{p}")) for p in _PART], "left").join(coded, same, "left")
     at = F.floor((minute - F.col("_lo")) * side / (F.col("_hi") - F.col("_lo") + 1)).cast("int")
     z = _interleaved(F.coalesce(at, F.lit(0)), F.coalesce("_firm", F.lit(0)))
     return told.select(*[F.col(f"r.{c}") for c in rows.columns], z.alias("_z"))
@@ -54,17 +58,18 @@ def cluster(
 
     ``target`` is an archive of its own, to be put in place of the old one. ``file_rows`` and ``group_bytes``
     bound files and row groups. Rows are dealt by range, so a minute or a firm that
-    holds much of the archive is shared out among files.
+    holds much of the archive is shared out among files. A task writes one file after another of its
+    range, so that small files do not make as many tasks and as many blocks of each map task.
     """
     rows = read_routed(spark, base, _PART).drop("writer", "run", "batch")
     if suffixes is not None:
         rows = rows.where(F.col("table_suffix").isin(*suffixes))
-    files = max(1, -(-rows.count() // file_rows))
+    tasks = max(1, -(-rows.count() // max(file_rows, TASK_ROWS)))
     order = [*_PART, "_z", "log_minute", "firm_name", "row_key"]
-    dealt = morton(rows).repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_z")
+    dealt = morton(rows).repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("_z")
     marked = dealt.withColumns({"writer": F.lit("clustered"), "run": F.lit(0).cast("bigint"), "batch": F.lit(0).cast("bigint")})
     out = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", group_bytes)
-    out.partitionBy(*_PART, "writer", "run", "batch").parquet(target)
+    out.option("maxRecordsPerFile", file_rows).partitionBy(*_PART, "writer", "run", "batch").parquet(target)
 
 
 def _slot(part: Column) -> Column:

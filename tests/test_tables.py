@@ -218,3 +218,16 @@ def test_index_names_stand_for_themselves(spark):
     names = lambda n: [r[0] for r in readers.index_wildcard(df, n).collect()]
     assert names("a%b") == ["a%b"] and names("a_b") == ["a_b"] and names("a\\b") == ["a\\b"]
     assert names("a*") == ["a%b", "axb", "a_b", "a\\b", "abc"]
+
+
+def test_small_files_do_not_make_as_many_tasks(spark, stored, tmp_path, monkeypatch):
+    """Rows are dealt by the rows a task sorts, not by file; no table is heaped in one task for its span."""
+    dealt = []
+    by_range = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *by: dealt.append((n, plan(df))) or by_range(df, n, *by))
+    A.cluster(spark, stored, str(tmp_path / "z"), file_rows=10)
+    (tasks, how), = dealt
+    assert tasks == 1 and "SortMergeJoin" not in how
+    assert max(pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_path}/z/**/*.parquet", recursive=True)) == 10
+    table = W.read_routed(spark, str(tmp_path / "z"), ["table_suffix"])
+    assert rows(table.drop("writer", "run", "batch")) == rows(W.read_routed(spark, stored, ["table_suffix"]).drop("writer", "run", "batch"))
