@@ -72,6 +72,11 @@ def cluster(
     out.option("maxRecordsPerFile", file_rows).partitionBy(*_PART, "writer", "run", "batch").parquet(target)
 
 
+def _file_in(files: set[str]) -> Column:
+    """Whether a row's file is one of these: a test on names, by which the scan leaves files out unread."""
+    return F.col("_metadata.file_path").isin(sorted(files))
+
+
 def _slot(part: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(part), 64 - KEY_BITS)
 
@@ -87,7 +92,7 @@ def index_keys(spark: SparkSession, base: str, index: str, part: list[str] | Non
     new = sorted(set(rows.inputFiles()) - known)
     if not new:
         return 0
-    keys = spark.read.schema(rows.schema).option("basePath", base).parquet(*new).select(F.input_file_name().alias("file"), "row_key")
+    keys = (rows.where(~_file_in(known)) if known else rows).select(F.input_file_name().alias("file"), "row_key")
     at = F.explode(F.sequence(F.lit(1), F.greatest(F.length("row_key") - 2, F.lit(1)))).alias("at")
     slots = keys.select("file", "row_key", at).select("file", _slot(F.substr("row_key", F.col("at"), F.lit(3))).alias("slot"))
     bits = slots.select("file", F.shiftright("slot", 6).cast("int").alias("word"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
@@ -119,7 +124,4 @@ def scan_containing(spark: SparkSession, base: str, index: str, text: str, part:
     parts = part or _PART
     rows = read_routed(spark, base, parts)
     out = set(ruled_out(spark, index, text)) if found(spark, index) else set()
-    kept = [f for f in rows.inputFiles() if f not in out]
-    if not kept:
-        return rows.where("false")
-    return spark.read.schema(rows.schema).option("basePath", base).parquet(*kept).where(F.col("row_key").contains(text))
+    return (rows.where(~_file_in(out)) if out else rows).where(F.col("row_key").contains(text))
