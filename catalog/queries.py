@@ -1251,7 +1251,8 @@ def _(spark, sf):
 def _(spark, sf):
     """The hinge loss of a group is least on the side of its majority."""
     points = _kinds(spark, sf)
-    return recommend.linear_svc(points, iterations=100).transform(points).select("event_id", "label", "prediction")
+    model = recommend.linear_svc(recommend.distinct_points(points), iterations=100, weight="weight")
+    return model.transform(points).select("event_id", "label", "prediction")
 
 
 @query("svc_points")

@@ -109,8 +109,18 @@ def logistic_regression(points: DataFrame, iterations: int = 50, tol: float = 1e
     return LogisticRegression(maxIter=iterations, tol=tol).fit(points)
 
 
-def linear_svc(points: DataFrame, iterations: int = 10, reg: float = 0.0):
-    return LinearSVC(maxIter=iterations, regParam=reg).fit(points)
+def linear_svc(points: DataFrame, iterations: int = 10, reg: float = 0.0, weight: str | None = None):
+    """``weight`` names a column of how many points a row stands for.
+
+    With ``reg`` such weights change the scale of features a little, by which the penalty is measured.
+    """
+    model = LinearSVC(maxIter=iterations, regParam=reg)
+    return (model.setWeightCol(weight) if weight else model).fit(points)
+
+
+def distinct_points(points: DataFrame) -> DataFrame:
+    """``label, features, weight``: equal points as one row and their number, for features that take few values."""
+    return points.groupBy("label", "features").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def split_points(points: DataFrame, weights=(0.6, 0.4), seed: int = 11) -> list[DataFrame]:

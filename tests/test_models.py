@@ -87,3 +87,12 @@ def test_named_users_of_a_parameter(spark, sf):
 
     got = queries.als_top(spark, sf, users=(4, 6), n=2).groupBy("user").agg(F.count("*").alias("n")).collect()
     assert sorted(map(tuple, got)) == [(4, 2), (6, 2)]
+
+
+def test_distinct_points_stand_for_all_rows(spark):
+    """Repeated points are one row with their number, and the majority of each kind is what the model learns."""
+    points = _points(spark, [(float(i % 10 < (2 if i % 20 < 10 else 7)), [float(i % 20 < 10)]) for i in range(400)])
+    few = R.distinct_points(points)
+    assert few.count() == 4 and few.agg(F.sum("weight")).first()[0] == 400
+    told = R.linear_svc(few, iterations=20, weight="weight").transform(few).select("features", "prediction").distinct()
+    assert {(r.features[0], r.prediction) for r in told.collect()} == {(1.0, 0.0), (0.0, 1.0)}
