@@ -22,7 +22,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates: similarity 0.8 of five-word shingles."""
+    """One document of each component of near-duplicates: similarity 0.8 of five-word shingles.
+
+    Candidates by the fingerprints and pigeonhole of op9, and by MinHash keys for pairs that lie further apart.
+    """
     return minhash.deduplicate(docs)
 
 

@@ -1,10 +1,14 @@
-"""Near-duplicates by five-word shingles: banded MinHash, then the exact Jaccard similarity.
+"""Near-duplicates by five-word shingles: SimHash and banded MinHash, then the exact Jaccard similarity.
 
 Distinct texts are nodes. Two nodes link when their sets of shingles have a similarity of
 ``SIMILAR`` or more; components of links are the groups. Texts without words are alike. A
 node has ``BANDS`` keys of ``ROWS`` minima each; a pair at similarity 0.8 shares one of them
 with probability 1 - (1 - 0.8**5)**20 = 0.9996, a pair above with more.
 
+Candidates come first from the fingerprints of :mod:`~edgelog.llm.simhash`, here over five words: its pigeonhole
+gives each node one of its own fingerprint and, per group, one within ``simhash.RADIUS`` bits. Most pairs
+at 0.8 are further apart than any pigeonhole of 64 bits can bound, so the keys find those.
+
 Nodes that share a key are first compared with one center of the key, which joins the copies of
 a common text however many they are. Only keys whose nodes then lie in several components
 are looked at again: every node outside the key's largest component is compared with nodes
@@ -68,11 +72,19 @@ def sketch(least: np.ndarray) -> bytes:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        least = [minima(shingles(text)) for text in batch.column(2).to_pylist()]
+        least = []
+
+        def hashed(texts: list[str | None]) -> Iterator[np.ndarray]:
+            for text in texts:
+                found = simhash.shingle_hashes(text, SHINGLE)
+                least.append(minima(np.unique(found)))
+                yield found
+
+        prints = simhash.majorities(hashed(batch.column(2).to_pylist()))
         ends = np.arange(len(least) + 1, dtype=np.int32) * BANDS
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*map(bands, least), np.zeros(0, np.int64)])))
-        columns = [batch.column(0), batch.column(1), lists, pa.array([sketch(x) for x in least], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "bands", "sketch"])
+        columns = [batch.column(0), batch.column(1), lists, pa.array([sketch(x) for x in least], pa.binary()), pa.array(prints)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "bands", "sketch", "fp"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +126,14 @@ def _met(nodes: DataFrame) -> DataFrame:
     return shared.stored(keyed.join(keys, "key"), "met")
 
 
+def _alike(nodes: DataFrame) -> DataFrame:
+    """``u, v``: nodes whose fingerprints are equal or within ``simhash.RADIUS`` bits, a node of each fingerprint for all of it."""
+    prints = shared.stored(nodes.groupBy("fp").agg(F.min_by("node", F.xxhash64("node")).alias("center")), "prints")
+    same = nodes.select("node", "fp").join(prints, "fp").filter("node <> center").select(*_pair("node", "center"))
+    linked = simhash.partners(prints).join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v")
+    return same.union(linked.select(*_pair("a", "b")))
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, base: DataFrame) -> DataFrame:
     """Those of ``pairs`` that link: by their sketches first, then by their whole sets."""
     told = nodes.select("node", "sketch")
@@ -190,7 +210,8 @@ def _nearest(most: int, near: int):
 def roots(base: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, root`` of nodes that are not the smallest of their component; ``base`` has ``node`` and ``text``."""
     met = _met(nodes)
-    tried = shared.stored(met.filter("node <> center").select(*_pair("node", "center")).distinct(), "stars")
+    stars = met.filter("node <> center").select(*_pair("node", "center"))
+    tried = shared.stored(stars.union(_alike(nodes)).distinct(), "stars")
     links = _linked(tried, nodes, base)
     most = 1
     while True:
@@ -222,8 +243,8 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     shared.bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = docs.select("doc_id", _node(text).alias("node"), F.col(text).alias("text"))
-    held = shared.stored(base.mapInArrow(shared.released(_sketch), f"doc_id {kind}, node binary, bands array<long>, sketch binary"), "sketches")
-    nodes = held.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    held = shared.stored(base.mapInArrow(shared.released(_sketch), f"doc_id {kind}, node binary, bands array<long>, sketch binary, fp long"), "sketches")
+    nodes = held.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("fp").alias("fp"))
     nodes = shared.stored(nodes, "nodes")
     found = roots(base, nodes)
     placed = shared.stored(nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "placed")

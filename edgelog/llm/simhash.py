@@ -18,7 +18,7 @@ its lanes exceed the radius. A group reports a star per local component, not its
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -76,18 +76,23 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def majorities(texts: Iterable[np.ndarray]) -> np.ndarray:
+    """The fingerprint of each text, given as its shingle hashes, as a signed long."""
+    made, hashes, held = [], [], 0
+    for found in texts:
+        hashes.append(found)
+        held += len(found)
+        if held > _CHUNK:
+            made.append(majority(np.concatenate(hashes), np.array([*map(len, hashes)])))
+            hashes, held = [], 0
+    if hashes:
+        made.append(majority(np.concatenate(hashes), np.array([*map(len, hashes)])))
+    return np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64)
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made, hashes, held = [], [], 0
-        for text in batch.column(1).to_pylist():
-            hashes.append(shingle_hashes(text))
-            held += len(hashes[-1])
-            if held > _CHUNK:
-                made.append(majority(np.concatenate(hashes), np.array([*map(len, hashes)])))
-                hashes, held = [], 0
-        if hashes:
-            made.append(majority(np.concatenate(hashes), np.array([*map(len, hashes)])))
-        fp = np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64)
+        fp = majorities(map(shingle_hashes, batch.column(1).to_pylist()))
         kept = [k for k in range(batch.num_columns) if k != 1]
         yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(fp)], names=[*(batch.schema.names[k] for k in kept), "fp"])
 
@@ -208,13 +213,31 @@ def stars(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
+def _lanes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints of a batch of groups, and the pairs of their positions that link."""
+    lists = batch.column(0)
+    offsets = lists.offsets.to_numpy()
+    fps = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+    return fps, *linked_lanes(fps, np.diff(offsets).astype(np.int64))
+
+
+def _partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fps, a, b = _lanes(batch)
+        first = np.full(len(fps), len(fps))
+        np.minimum.at(first, b, a)
+        found = np.flatnonzero(first < len(fps))
+        yield pa.RecordBatch.from_arrays([pa.array(fps[first[found]]), pa.array(fps[found])], names=["u", "v"])
+
+
+def partners(nodes: DataFrame) -> DataFrame:
+    """``u, v``: for each fingerprint ``fp`` one other that links with it, from each group that has one before it."""
+    return groups(nodes).mapInArrow(shared.released(_partner), "u long, v long").distinct()
+
+
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = batch.column(0)
-        offsets = lists.offsets.to_numpy()
-        fps = lists.values.to_numpy()[offsets[0] : offsets[-1]]
-        sizes = np.diff(offsets)
-        a, b = linked_lanes(fps, sizes.astype(np.int64))
+        fps, a, b = _lanes(batch)
         root = stars(a, b, len(fps))
         moved = np.flatnonzero(root != np.arange(len(fps)))
         yield pa.RecordBatch.from_arrays([pa.array(fps[moved]), pa.array(fps[root[moved]])], names=["u", "v"])

@@ -5,7 +5,7 @@ import re
 import numpy as np
 
 import corpus_pipeline as P
-from edgelog.llm import minhash as M
+from edgelog.llm import minhash as M, simhash
 
 from .helpers import awkward, none
 
@@ -102,6 +102,26 @@ def test_near_copies_at_four_fifths_go(spark, sf):
     assert left == set(range(len(texts))) - near
 
 
+def test_fingerprints_propose_what_lies_within_two_bits(spark, monkeypatch):
+    """Without any MinHash key, copies within the radius of simhash still go, and no others."""
+    keyed = M._met
+    monkeypatch.setattr(M, "_met", lambda nodes: keyed(nodes).limit(0))
+    rng = np.random.default_rng(8)
+    rows, near, far = [], set(), 0
+    for n in [1] * 12 + [2] * 4 + [0, 8, 8]:
+        base = [f"w{i}" for i in rng.integers(0, 50_000, 1500)]
+        copy = [*changed(rng, base, n), "end"]  # one shingle more, even where no word differs
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
+        prints = [simhash.majorities([simhash.shingle_hashes(t, 5)])[0].view(np.uint64) for _, t in rows[-2:]]
+        if int(prints[0] ^ prints[1]).bit_count() <= simhash.RADIUS:
+            near.add(rows[-1][0])
+        else:
+            far += 1
+    assert len(near) > 3 and far
+    left = {r.doc_id for r in M.deduplicate(spark.createDataFrame(rows, DOCS)).collect()}
+    assert left == set(range(len(rows))) - near
+
+
 def test_rows_without_or_with_repeated_ids(spark):
     kept = M.deduplicate(awkward(spark))
     assert kept.columns == awkward(spark).columns
