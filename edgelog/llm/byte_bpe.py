@@ -290,7 +290,7 @@ def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, dro
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     shared.bound_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(shared.released(run), schema)
 
 
 def encode(

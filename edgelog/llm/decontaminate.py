@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from edgelog.llm import shared
 
-#: Text bytes of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 6 << 20
+#: Text bytes of a shard; a longer text is a shard of its own. A task holds about 25 times as much for it.
+SHARD_BYTES = 1 << 20
 
 MATCH = T.StructType(
     [
@@ -331,10 +331,10 @@ def with_matches(
     shared.bound_batches(docs.sparkSession)
     some = False
     for block in blocks(benchmark, n, block_bytes):
-        df = df.mapInArrow(_stage(block, text, out, schema), df.schema)
+        df = df.mapInArrow(shared.released(_stage(block, text, out, schema)), df.schema)
         some = True
     if not some:  # no items: the words still count
-        df = df.mapInArrow(_stage(make_block([], n), text, out, schema), df.schema)
+        df = df.mapInArrow(shared.released(_stage(make_block([], n), text, out, schema)), df.schema)
     return df
 
 

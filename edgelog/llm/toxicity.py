@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int =
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([*parts, model.bias], [pa.binary(), pa.binary(), pa.float64()])], names=["f", "w", "b"])
 
     ordered = sample.repartition(1).sortWithinPartitions(*order)
-    found = ordered.mapInArrow(learn, "f binary, w binary, b double").collect()
+    found = ordered.mapInArrow(shared.released(learn), "f binary, w binary, b double").collect()
     if not found:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
     return Model(np.frombuffer(found[0].f, np.uint64), np.frombuffer(found[0].w, np.float64), found[0].b)
@@ -212,7 +212,7 @@ def with_score(docs: DataFrame, model: Model, score: str = "score", offending: s
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     shared.bound_batches(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(shared.released(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from edgelog.llm import decontaminate as D
+from edgelog.llm import decontaminate as D, shared
 
 from .helpers import awkward, none, words
 
@@ -85,3 +87,15 @@ def test_suffix_array_is_sorted():
     array = D.SuffixArray(ids, 3, 40)
     tails = [tuple(ids[i : i + 40][: (list(ids[i : i + 40]) + [0]).index(0)]) for i in array.at]
     assert tails == sorted(tails) and len(tails) == (ids > 0).sum()
+
+
+def test_a_shard_takes_little_memory():
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 5000, 2000)) for _ in range(540)]
+    block = D.make_block([(i, t[:400]) for i, t in enumerate(texts[:40])], 10)
+    tracemalloc.start()
+    hits = [len(cut) for part in shared.slices(pa.array(texts), D.SHARD_BYTES) for cut in D.search_shard(part, block)[1]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(bool, hits)) == 40
+    assert peak < 40 << 20  # 117 MB in shards of 6 MB
