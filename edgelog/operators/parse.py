@@ -204,11 +204,14 @@ TIME_LOCAL_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"
 
 def druid_events(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """The 42 columns with ``time_local`` as an instant; unreadable times to quarantine."""
+    return part_flagged(druid_events_flagged(df, **options), "druid_event")
+
+
+def druid_events_flagged(df: DataFrame, **options) -> DataFrame:
     flagged = parse_sql42_flagged(df, **options)
     when = F.try_to_timestamp("time_local", F.lit(TIME_LOCAL_PATTERN))
     reason = F.coalesce("_reason", F.when(when.isNull(), F.lit("bad time_local")))
-    timed = flagged.withColumns({"_reason": reason, "time_local": when})
-    return part_flagged(timed, "druid_event")
+    return flagged.withColumns({"_reason": reason, "time_local": when})
 
 
 def rank_input(

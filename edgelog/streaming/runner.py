@@ -283,9 +283,10 @@ def event_handler(base: str, value: str = "value", tz: str = DEFAULT_TZ) -> Hand
     """Bytes per event time and domain of each batch, as partial rows by day."""
 
     def run(df: DataFrame, batch: int) -> None:
-        good, bad = parse.druid_events(df, value=value)
-        write_event_store(band.domain_rollup(good), f"{base}/events", batch, tz=tz)
-        routed_upsert(bad, f"{base}/quarantine", batch, part=["layout"])
+        def rows(good: DataFrame, tags: tuple[str, str]) -> None:
+            write_event_store(band.domain_rollup(good), f"{base}/events", batch, tz=tz)
+
+        _store_narrow(parse.druid_events_flagged(df, value=value), ["time_local", "domain", "body_bytes_sent"], "druid_event", base, batch, rows)
 
     return run
 

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from catalog import fixture
 from catalog import stream_queries as S
+from edgelog import layouts as L
 from edgelog.streaming import runner
 
 
@@ -16,3 +20,16 @@ def test_a_batch_lies_in_several_files_and_is_its_frame(spark, tmp_path, monkeyp
     handler = lambda df, batch: seen.update({batch: sorted(int(r.value) for r in df.collect())})
     runner.run_stream(S._source(spark, files), handler, str(tmp_path / "c")).awaitTermination()
     assert seen == {batch: list(ids) for batch, ids in enumerate(sizes) if ids}  # an empty batch is not handled
+
+
+def test_events_of_a_batch_are_parsed_once(spark, sf, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(line):
+        read.add(1)
+        return line
+
+    lines = fixture.lines(spark, sf, L.VENDOR_37).select(F.udf(seen, "string")("value").alias("value"))
+    runner.event_handler(str(tmp_path))(lines, 0)
+    assert read.value == fixture.lines(spark, sf, L.VENDOR_37).count()
+    assert spark.read.parquet(f"{tmp_path}/quarantine").count() > 0
