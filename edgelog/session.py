@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,20 @@ def build_session(app: str = "edgelog", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_METHOD_KEY = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Inside, methods too long for the JVM to compile are not generated, whatever the session's limit; a lower one stays."""
+    before = spark.conf.get(_METHOD_KEY)
+    spark.conf.set(_METHOD_KEY, str(min(int(before), int(DEFAULTS[_METHOD_KEY]))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_KEY, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can write to, as named by ``spark.checkpoint.dir``.
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from edgelog import layouts as L
 from edgelog.functions.times import DEFAULT_TZ
 from edgelog.operators import archive, band, clean, filters, parse, rank, route
+from edgelog.session import compiled
 from edgelog.sinks.writers import CURRENT_WRITER, found, raw_lines_archive, read_band, routed_upsert, stream_id, write_archive, write_event_store
 from edgelog.streaming import drain
 
@@ -43,7 +44,8 @@ def run_stream(
         out = out.queryName(name)
     out = out.option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return out.trigger(**trigger).start()
+    with compiled(df.sparkSession):  # a stream keeps the settings it is started with
+        return out.trigger(**trigger).start()
 
 
 def _skip_empty(handler: Handler, writer: str | None = None) -> Handler:

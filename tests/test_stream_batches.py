@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog import fixture
 from catalog import stream_queries as S
 from edgelog import layouts as L
+from edgelog.sources import readers
 from edgelog.streaming import runner
 
 
@@ -33,3 +34,16 @@ def test_events_of_a_batch_are_parsed_once(spark, sf, tmp_path):
     runner.event_handler(str(tmp_path))(lines, 0)
     assert read.value == fixture.lines(spark, sf, L.VENDOR_37).count()
     assert spark.read.parquet(f"{tmp_path}/quarantine").count() > 0
+
+
+def test_batches_generate_no_method_too_long_to_compile(spark, tmp_path):
+    key, found = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65535")
+    try:
+        spark.createDataFrame([("a",)], "value string").write.parquet(f"{tmp_path}/in")
+        stream = readers.source(spark, "parquet", L.RAW_LINE_SCHEMA, f"{tmp_path}/in")
+        runner.run_stream(stream, lambda df, batch: found.append(df.sparkSession.conf.get(key)), f"{tmp_path}/c").awaitTermination()
+        assert found == ["8000"] and spark.conf.get(key) == "65535"
+    finally:
+        spark.conf.set(key, before)
