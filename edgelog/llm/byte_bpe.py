@@ -14,7 +14,7 @@ Whether two tokens stay apart is told by undoing their last merges, the later on
 no pair that comes to face each other would have merged before. That is a few lookups, not a merge of all bytes.
 
 Texts are split by a pattern first and each match is encoded by itself. Matches repeat, so
-their ids are kept in a bounded table per Python worker.
+their ids are kept in a bounded table per task.
 """
 
 from __future__ import annotations
@@ -277,12 +277,16 @@ _MADE: dict[tuple, object] = {}
 
 
 def _own(kind: Callable, *args: str) -> object:
-    """One machine per Python worker, kept over its tasks."""
+    """One machine per task; a worker lives on for tasks of other stages, so it goes with the task."""
     if (kind, args) not in _MADE:
         _MADE[kind, args] = kind(*args)
     return _MADE[kind, args]
 
 
+def _forget() -> None:
+    _MADE.clear()
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Runs of rows of about ``PART_BYTES``, so that a worker holds the results of few rows."""
     rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
@@ -297,10 +301,13 @@ def _with_columns(df: DataFrame, new: dict[str, T.DataType], work: Callable, dro
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _parts(whole)):
-            made = work(batch)
-            columns = [made[f.name] if f.name in new else batch.column(f.name).cast(f.type) for f in arrow]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        try:
+            for batch in (part for whole in batches for part in _parts(whole)):
+                made = work(batch)
+                columns = [made[f.name] if f.name in new else batch.column(f.name).cast(f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        finally:
+            _forget()
 
     shared.bound_batches(df.sparkSession)
     return df.mapInArrow(shared.released(run), schema)

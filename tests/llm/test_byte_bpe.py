@@ -4,9 +4,11 @@ import hashlib
 from random import Random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from edgelog.llm import byte_bpe as B
 
@@ -114,3 +116,15 @@ def test_small_vocabularies_as_the_definition():
         for _ in range(30):
             piece = bytes(random.choices(b"ab", k=random.randint(1, 14)))
             assert machine.encode(piece) == ([ranks[piece]] if piece in ranks else B.merge(piece, ranks))
+
+
+def test_a_worker_keeps_no_machine_beyond_its_task(spark):
+    def held(batches):
+        from edgelog.llm import byte_bpe
+
+        for batch in batches:
+            yield batch.set_column(0, "n", pa.array([len(byte_bpe._MADE)] * batch.num_rows, pa.int64()))
+
+    one = spark.range(1).coalesce(1)
+    B.encode(one.withColumn("text", F.lit("several words")), PATH, PATTERN, decoded="decoded").collect()
+    assert [r.n for r in one.mapInArrow(held, "n long").collect()] == [0]
