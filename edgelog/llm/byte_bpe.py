@@ -35,9 +35,9 @@ from edgelog.llm import shared
 
 #: Entries of a generation of encoded matches, and of the tables of the machine; bytes of
 #: a batch that are worked on at once.
-MAX_MATCHES = 120_000
+MAX_MATCHES = 60_000
 MAX_ARCS = 250_000
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 #: Characters that are split at once; longer texts are cut where no match can cross.
 SEGMENT = 1 << 20
 #: Key of a trie node that is no byte.
@@ -226,8 +226,8 @@ class Decoder:
     """Ids to bytes; the UTF-8 machine runs over ids that do not end between characters."""
 
     def __init__(self, path: str):
-        self.tokens = {rank: token for token, rank in load_ranks(path).items()}
-        self.table = [self.tokens.get(i, b"") for i in range(max(self.tokens, default=-1) + 1)]
+        tokens = {rank: token for token, rank in load_ranks(path).items()}
+        self.table = [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
         self.closed = np.array([self._run(DONE, t) == DONE for t in self.table], bool)
         self.steps: dict[tuple[tuple[int, int, int], int], tuple[int, int, int] | None] = {}
 
@@ -285,6 +285,7 @@ def _own(kind: Callable, *args: str) -> object:
 
 def _forget() -> None:
     _MADE.clear()
+    load_ranks.cache_clear()
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

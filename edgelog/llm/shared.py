@@ -30,7 +30,7 @@ def ship(spark: SparkSession) -> None:
 
 
 #: Bytes of one Arrow batch on its way to Python; a batch holds a row at least.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

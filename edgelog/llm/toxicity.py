@@ -36,6 +36,8 @@ CLEAR, START = 4.0, 0.5
 THRESHOLD = 0.5
 #: Word beginnings that are features besides the word, in bytes, and the salt of each.
 BEGINNINGS = (4, 5, 6)
+#: Bytes of text that are split at once; what that holds is about 60 times as much.
+PART_BYTES = 1 << 18
 #: Bytes that end a sentence.
 BREAKS = b".!?\n"
 
@@ -95,11 +97,8 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
     none = Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
     if not len(labels) or labels.min() == labels.max():
         return none if not len(labels) or labels[0] == 0 else Model(none.features, none.weights, 20.0)
-    bags = split(pa.array(texts, pa.string()))
-    doc_of = bags.row[bags.sentence]
-    _, once = np.unique(bags.feature * _ODD + doc_of.astype(np.uint64), return_index=True)
-    features, index, seen = np.unique(bags.feature[once], return_inverse=True, return_counts=True)
-    toxic = np.bincount(index, labels[doc_of[once]], len(features))
+    parts = shared.slices(pa.array(texts, pa.string()), PART_BYTES)
+    features, seen, toxic = _counted(parts, labels)
     share = labels.mean()
     spread = (toxic - share * seen) / np.sqrt(seen * share * (1 - share))
     usable = np.flatnonzero(seen >= MIN_DOCS)
@@ -110,17 +109,17 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
     odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((seen - toxic + 0.5) / (n0 + 1))
     start = np.where(spread >= CLEAR, START * np.maximum(odds, 0), 0.0)
     model = Model(features[chosen], start[chosen], -8.0)
-    sentence, slot = _known(bags, model)
-    n_sentences, n_docs = len(bags.row), len(texts)
+    sentence, slot, doc = _placed(parts, model)
+    n_sentences, n_docs = len(doc), len(texts)
     step1, step2 = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     even = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (len(labels) - labels.sum()))
     for t in range(1, ROUNDS + 1):
         s = model.bias + np.bincount(sentence, model.weights[slot], n_sentences)
         p = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
-        log_clean = -np.bincount(bags.row, np.logaddexp(0, s), n_docs)
+        log_clean = -np.bincount(doc, np.logaddexp(0, s), n_docs)
         clean = np.exp(log_clean)
         pull = np.where(labels == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * even
-        g = pull[bags.row] * p
+        g = pull[doc] * p
         grad = np.append(np.bincount(slot, g[sentence], len(chosen)), g.sum())
         step1 = 0.9 * step1 + 0.1 * grad
         step2 = 0.99 * step2 + 0.01 * grad**2
@@ -131,6 +130,36 @@ def _fit(texts: list[str | None], labels: np.ndarray) -> Model:
     return model
 
 
+def _counted(parts: list[pa.Array], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features in order, documents that hold each, and those of them labelled 1."""
+    features, seen, toxic = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+    first = 0
+    for part in parts:
+        bags = split(part)
+        doc_of = bags.row[bags.sentence]
+        _, once = np.unique(bags.feature * _ODD + doc_of.astype(np.uint64), return_index=True)
+        found, index, n = np.unique(bags.feature[once], return_inverse=True, return_counts=True)
+        marked = np.bincount(index, labels[first + doc_of[once]], len(found))
+        features, index = np.unique(np.concatenate([features, found]), return_inverse=True)
+        seen = np.bincount(index, np.concatenate([seen, n]), len(features)).astype(np.int64)
+        toxic = np.bincount(index, np.concatenate([toxic, marked]), len(features))
+        first += len(part)
+    return features, seen, toxic
+
+
+def _placed(parts: list[pa.Array], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sentence and place in the model of each known feature, as :func:`_known`, and the document of each sentence."""
+    sentences, slots, docs, first, held = [], [], [], 0, 0
+    for part in parts:
+        bags = split(part)
+        sentence, slot = _known(bags, model)
+        sentences.append(sentence + held)
+        slots.append(slot)
+        docs.append(bags.row + first)
+        first, held = first + len(part), held + len(bags.row)
+    return tuple(np.concatenate([*x, np.zeros(0, np.int64)]) for x in (sentences, slots, docs))
+
+
 def _known(bags: Sentences, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Sentence and place in the model of each known feature, once per sentence."""
     if not len(model.features):
@@ -202,7 +231,7 @@ def with_score(docs: DataFrame, model: Model, score: str = "score", offending: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [judge(part, model, offending is not None) for part in shared.slices(batch.column(text))]
+            parts = [judge(part, model, offending is not None) for part in shared.slices(batch.column(text), PART_BYTES)]
             made = np.concatenate([score for score, _ in parts] + [np.zeros(0)])
             found = [row for _, rows in parts for row in rows or []]
             columns = [batch.column(f.name).cast(f.type) for f in list(arrow)[: len(kept)]]

@@ -128,3 +128,15 @@ def test_a_worker_keeps_no_machine_beyond_its_task(spark):
     one = spark.range(1).coalesce(1)
     B.encode(one.withColumn("text", F.lit("several words")), PATH, PATTERN, decoded="decoded").collect()
     assert [r.n for r in one.mapInArrow(held, "n long").collect()] == [0]
+
+
+def test_a_worker_keeps_no_ranks_beyond_its_task(spark):
+    def held(batches):
+        from edgelog.llm import byte_bpe
+
+        for batch in batches:
+            yield batch.set_column(0, "n", pa.array([byte_bpe.load_ranks.cache_info().currsize] * batch.num_rows, pa.int64()))
+
+    one = spark.range(1).coalesce(1)
+    B.encode(one.withColumn("text", F.lit("several words")), PATH, PATTERN).collect()
+    assert [r.n for r in one.mapInArrow(held, "n long").collect()] == [0]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -49,6 +51,25 @@ def test_noisy_or_finds_the_word_and_the_sentence():
     assert [s["sentence"] for s in found[0]] == ["w4 Vile w5"] and found[1:] == [[], [], []]
 
 
+def test_fit_holds_the_words_of_few_texts_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = np.array([f"word{i}" for i in range(3000)])
+    texts = [". ".join(" ".join(rng.choice(words, 8)) for _ in range(40)) + (" vile" if i % 4 == 0 else "") for i in range(800)]
+    labels = (np.arange(800) % 4 == 0).astype(np.int64)
+    monkeypatch.setattr(X, "ROUNDS", 3)
+    tracemalloc.start()
+    X._fit(texts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * sum(map(len, texts))
+    made = []
+    for size in (1, 5000, 1 << 30):
+        monkeypatch.setattr(X, "PART_BYTES", size)
+        made.append(X._fit(texts[:80], labels[:80]))
+    for model in made[1:]:
+        assert (model.features == made[0].features).all() and (model.weights == made[0].weights).all() and model.bias == made[0].bias
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(1, 0), (8, 1), (None, 1), (6, None), (2, 5), (99, 1)], "doc_id long, toxic int")
