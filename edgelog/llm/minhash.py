@@ -36,6 +36,9 @@ BANDS, ROWS = 20, 5
 #: Minima that must agree, of ``BANDS * ROWS``; nodes in a block.
 NEAR = 65
 BLOCK = 1024
+#: Nodes whose ids are broadcast; of more, a bitmap of ``2 ** BITS`` bits tells tasks which texts may be theirs.
+FEW = 1 << 13
+BITS = 24
 #: Shingles whose minima are taken at once.
 _CHUNK = 2048
 _RANDOM = np.random.default_rng(42)
@@ -87,10 +90,43 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "bands", "sketch", "fp"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = [shingles(text).tobytes() for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "hashes"])
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """A bit per slot of the nodes of ``wanted``, which are digests: their first bits name it."""
+    slot = F.shiftright(F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long"), 32 - BITS).alias("slot")
+    cell = wanted.select(slot).selectExpr("shiftright(slot, 6) AS cell", "shiftleft(1L, CAST(slot & 63 AS INT)) AS bit")
+    found = cell.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = np.zeros(1 << BITS - 6, np.int64)
+    bits[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits
+
+
+def _marked(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    slot = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u4")[::4].astype(np.int64) >> 32 - BITS
+    return batch.filter(pa.array(bits[slot >> 6] >> (slot & 63) & 1 == 1))
+
+
+def _sets(sent=None):
+    """Nodes and their whole sets; of the nodes that the broadcast bitmap ``sent`` marks, where there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if sent is not None:
+                batch = _marked(batch, sent.value)
+            made = [shingles(text).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "hashes"])
+
+    return run
+
+
+def _sets_of(wanted: DataFrame, base: DataFrame) -> DataFrame:
+    """``node, hashes`` of the nodes ``wanted``. Texts stay where they lie; only sets are shuffled."""
+    texts, schema = base.select("node", "text"), "node binary, hashes binary"
+    if wanted.count() <= FEW:
+        made = texts.join(F.broadcast(wanted), "node", "left_semi").mapInArrow(shared.released(_sets()), schema)
+    else:
+        sent = base.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+        made = texts.mapInArrow(shared.released(_sets(sent)), schema).join(wanted, "node", "left_semi")
+    return made.groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
 def _near(least: int):
@@ -140,8 +176,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, base: DataFrame) -> DataFrame:
     both = pairs.join(told.toDF("u", "a"), "u").join(told.toDF("v", "b"), "v").select("u", "v", "a", "b")
     near = shared.stored(both.mapInArrow(shared.released(_near(NEAR)), "u binary, v binary"), "near")
     wanted = shared.stored(near.select("u").union(near.select("v")).distinct().toDF("node"), "wanted")
-    made = base.select("node", "text").join(wanted, "node", "left_semi").mapInArrow(shared.released(_sets), "node binary, hashes binary")
-    made = shared.stored(made.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    made = shared.stored(_sets_of(wanted, base), "sets")
     both = near.join(made.toDF("u", "a"), "u").join(made.toDF("v", "b"), "v")
     return shared.stored(both.select("u", "v", "a", "b").mapInArrow(shared.released(_similar), "u binary, v binary"), "links")
 
@@ -213,14 +248,16 @@ def roots(base: DataFrame, nodes: DataFrame) -> DataFrame:
     stars = met.filter("node <> center").select(*_pair("node", "center"))
     tried = shared.stored(stars.union(_alike(nodes)).distinct(), "stars")
     links = _linked(tried, nodes, base)
-    most = 1
+    most, told = 1, None
     while True:
         found = components(links).toDF("node", "root")
         met = _members(met, found)  # a key whose nodes have met stays out
-        nearest = shared.stored(_proposals(met, nodes, most), "proposals")
+        if told is None:  # no other nodes are compared from here on
+            told = shared.stored(nodes.select("node", "sketch").join(met.select("node").distinct(), "node", "left_semi"), "told")
+        nearest = shared.stored(_proposals(met, told, most), "proposals")
         new = shared.stored(nearest.join(tried, ["u", "v"], "left_anti").select("u", "v"), "new")
         if not new.isEmpty():
-            links = links.union(_linked(new, nodes, base))
+            links = links.union(_linked(new, told, base))
             tried = tried.union(new)
         elif nearest.filter("more").isEmpty() and met.filter(F.col("asks") & (F.col("blocks") > most)).isEmpty():
             return found

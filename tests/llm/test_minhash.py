@@ -130,3 +130,20 @@ def test_rows_without_or_with_repeated_ids(spark):
     rows = [(1, "a b c d"), (None, "a b c d"), (None, "e f g h"), (7, "i j k l"), (2, "i j k l"), (7, "m n o p"), (9, ""), (None, None)]
     left = M.deduplicate(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted(map(tuple, left), key=repr) == sorted([(1, "a b c d"), (None, "e f g h"), (2, "i j k l"), (7, "m n o p"), (9, "")], key=repr)
+
+
+def test_sets_of_many_nodes_leave_the_texts_where_they_lie(spark, monkeypatch, capsys):
+    docs = awkward(spark).union(spark.range(10, 400).selectExpr("id", "concat('a b c d e ', id % 90)", "'en'", "'a'", "1", "'x'"))
+    base = docs.select("doc_id", M._node("text").alias("node"), "text")
+    wanted = base.filter("doc_id % 3 = 1").select("node").distinct()
+    few = {(bytes(r.node), bytes(r.hashes)) for r in M._sets_of(wanted, base).collect()}
+    whole = sorted(map(str, M.deduplicate(docs).collect()))
+    monkeypatch.setattr(M, "FEW", 0)
+    many = M._sets_of(wanted, base)
+    assert {(bytes(r.node), bytes(r.hashes)) for r in many.collect()} == few and len(few) == wanted.count()
+    many.explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Join") < plan.rindex("MapInArrow")
+    bits = M._bitmap(wanted)
+    assert sum(M._marked(batch, bits).num_rows for batch in base.select("node", "text").toArrow().to_batches()) == base.join(wanted, "node", "left_semi").count() < base.count()
+    assert sorted(map(str, M.deduplicate(docs).collect())) == whole
